@@ -9,6 +9,7 @@ from urllib.parse import unquote
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _PLAIN = re.compile(r"[A-Za-z0-9_\- ]+(?:\.[A-Za-z0-9_\- ]+)*(?:/[A-Za-z0-9_\- ]+(?:\.[A-Za-z0-9_\- ]+)*)*")
 _SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.\-]*://[^/]*/|[A-Za-z]:/")
@@ -53,7 +54,7 @@ def clean_path(path: str | None, dataset: str | None = None) -> str | None:
     return p or None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def clean_path_udf(path: pd.Series, dataset: pd.Series) -> pd.Series:
     return pd.Series([clean_path(p, d) for p, d in zip(path, dataset)], dtype=object)
 
