@@ -1,8 +1,8 @@
 """The queries of this package, and the SQL that gives the same rows where SQL can."""
 
-from wavelake.llm import overlap, related
+from wavelake.llm import neighbours, overlap, quota, related
 
-MODULES = [overlap, related]
+MODULES = [overlap, related, neighbours, quota]
 
 
 def queries() -> dict:
