@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Width of a time block in the unit of the intervals (an hour of milliseconds).
 BLOCK_MS = 3_600_000
@@ -32,14 +33,19 @@ def merge_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str, bl
 
     * rows with a null time or an end not after the start are left out; equal intervals count once
     * touching, nested and overlapping intervals form one period
-    * null keys are a group of their own; an empty table gives an empty result
+    * keys are strings or numbers; null keys are a group of their own; an empty table gives an empty result
     * other columns of ``df`` are ignored, whatever their names
     """
     keys = list(keys)
-    names = [f"_k{i}" for i in range(len(keys))]
+    # Keys are joined on: a null is replaced, and a bit mask of the nulls is a key as well. So joins are plain
+    # equalities that keep the partitioning, and rows move only once.
+    types = [df.schema[k].dataType for k in keys]
+    null = sum((F.col(f"`{k}`").isNull().cast("bigint") * F.lit(2**i) for i, k in enumerate(keys)), F.lit(0).cast("bigint"))
+    filled = [F.coalesce(F.col(f"`{k}`"), F.lit("" if isinstance(t, T.StringType) else 0).cast(t)) for k, t in zip(keys, types)]
+    names = [f"_k{i}" for i in range(len(keys))] + ["_z"]
     s, e = F.col("_s"), F.col("_e")
     rows = (
-        df.select(*(F.col(f"`{k}`").alias(n) for k, n in zip(keys, names)), F.col(f"`{start}`").cast("bigint").alias("_s"), F.col(f"`{end}`").cast("bigint").alias("_e"))
+        df.select(*(x.alias(n) for x, n in zip([*filled, null], names)), F.col(f"`{start}`").cast("bigint").alias("_s"), F.col(f"`{end}`").cast("bigint").alias("_e"))
         .where(s < e)
         .distinct()
         .withColumn("_b", F.floor(s / F.lit(block)).cast("bigint"))
@@ -58,8 +64,7 @@ def merge_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str, bl
     earlier = W.partitionBy(*names).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
     later = W.partitionBy(*names).orderBy("_b").rowsBetween(1, W.unboundedFollowing)
     reach = local.groupBy(*place).agg(F.max("_e").alias("_r")).withColumn("_r", F.max("_r").over(earlier))
-    a, b = local.alias("a"), reach.alias("b")
-    joined = _join(a, b, place).select(*(f"a.{c}" for c in place), "a._s", "a._e", "a._n", "b._r")
+    joined = local.join(reach, place)
     seq = W.partitionBy(*place).orderBy("_s")
     parts = (
         joined.withColumn("_m", F.greatest(F.col("_r"), F.max("_e").over(seq.rowsBetween(W.unboundedPreceding, -1))))
@@ -77,28 +82,20 @@ def merge_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str, bl
         .withColumn("_next", F.min("_first").over(later))
     )
     parts = parts.withColumn("_lead", F.lead("_s").over(W.partitionBy(*place).orderBy("_i")))
-    owned = _join(parts.alias("a"), marks.alias("b"), place).select(
-        *(F.col(f"a.{c}").alias(c) for c in names),
-        F.when(F.col("a._i") > 0, F.col("a._s")).otherwise(F.col("b._owner")).alias("_o"),
-        F.col("a._e").alias("_e"),
-        F.col("a._n").alias("_n"),
-        F.when(F.col("a._i") > 0, F.coalesce("a._lead", "b._next")).alias("_next"),
+    owned = parts.join(marks, place).select(
+        *names,
+        F.when(F.col("_i") > 0, s).otherwise(F.col("_owner")).alias("_o"),
+        "_e",
+        "_n",
+        F.when(F.col("_i") > 0, F.coalesce("_lead", "_next")).alias("_next"),
     )
     return (
         owned.groupBy(*names, "_o")
         .agg(F.max("_e").alias("to_ms"), F.sum("_n").alias("n"), F.max("_next").alias("next_ms"))
-        .select(*(F.col(n).alias(k) for n, k in zip(names, keys)), F.col("_o").alias("from_ms"), "to_ms", "n", "next_ms")
+        .select(*(F.when(F.col("_z").bitwiseAND(2**i) == 0, F.col(n)).alias(k) for i, (n, k) in enumerate(zip(names, keys))), F.col("_o").alias("from_ms"), "to_ms", "n", "next_ms")
     )
 
 
-def _join(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFrame:
-    cond = None
-    for c in on:
-        x = F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
-        cond = x if cond is None else cond & x
-    return a.join(b, cond)
-
-
 def periods_and_gaps(periods: DataFrame, keys: Sequence[str], max_gap: int | None = None) -> DataFrame:
     """Long form of ``merge_intervals``: kind ``period`` (of two or more intervals) and kind ``gap``.
 
