@@ -1,8 +1,8 @@
 """The queries of this package, and the SQL that gives the same rows where SQL can."""
 
-from wavelake.llm import mixing, neighbours, overlap, pieces, quota, related
+from wavelake.llm import language, leakage, mixing, neighbours, overlap, pieces, quota, related
 
-MODULES = [overlap, related, neighbours, pieces, quota, mixing]
+MODULES = [overlap, related, neighbours, pieces, quota, leakage, mixing, language]
 
 
 def queries() -> dict:

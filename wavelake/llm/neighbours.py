@@ -1,6 +1,6 @@
 """The k most similar vectors of every vector (problem 3).
 
-The collection is hashed into shards of about SHARD vectors. Each shard holds one vantage-point tree: a node splits its
+The collection lies hashed in shards of about SHARD vectors. Each shard holds one vantage-point tree: a node splits its
 vectors at the median distance from a vantage point, leaves hold up to LEAF vectors. A query skips the far side of a
 node if the triangle inequality rules out anything nearer than its k-th best so far, relaxed by a factor: with
 factor 1 the search is exact, with a larger one more is skipped.
@@ -34,18 +34,13 @@ FACTOR = 1.0
 SLACK = 1e-5
 
 
-def usable(vectors: DataFrame, dim: int = DIM) -> DataFrame:
-    """``vec_id, v``: each vec_id once (the row received last that is usable), scaled to length one.
+def last_vectors(vectors: DataFrame, dim: int = DIM) -> DataFrame:
+    """``vec_id, e``: each vec_id once (the row received last), if it has ``dim`` numbers.
 
-    Usable vectors have ``dim`` finite numbers that are not all zero; null, short, long, NaN and infinite ones take no part.
+    Whether the numbers are usable is looked at when they are packed.
     """
-    e = F.col("embedding")
-    finite = F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    good = vectors.where(F.col("vec_id").isNotNull() & (F.size(e) == dim) & finite & F.exists(e, lambda x: x != 0))
-    last = good.groupBy("vec_id").agg(F.max(F.struct("received_at", "embedding")).alias("x")).select("vec_id", F.col("x.embedding").cast("array<double>").alias("e"))
-    # Scaled by the largest number first, so that tiny and huge vectors keep their direction.
-    top = F.array_max(F.transform("e", F.abs))
-    return last.withColumn("e", F.transform("e", lambda x: x / top)).select("vec_id", F.transform("e", lambda x: x / F.sqrt(F.aggregate("e", F.lit(0.0), lambda a, y: a + y * y))).alias("v"))
+    good = vectors.where(F.col("vec_id").isNotNull()).groupBy("vec_id").agg(F.max_by("embedding", F.struct(F.col("received_at").isNotNull(), "received_at")).alias("e"))
+    return good.where(F.size("e") == dim)
 
 
 class Tree:
@@ -126,20 +121,85 @@ def _dist(dot: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(np.float32(2) - 2 * dot, 0, dtype=np.float32))
 
 
-def _matrix(col: pd.Series) -> np.ndarray:
-    return np.vstack(col.to_numpy()).astype(np.float64) if len(col) else np.zeros((0, DIM))
+def _unit(raw: np.ndarray) -> np.ndarray:
+    """Rows scaled to length one, by their largest number first, so that tiny and huge vectors keep their direction."""
+    x = raw.astype(np.float64)
+    x = x / np.abs(x).max(1, keepdims=True)
+    return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
-def _pack(pdf: pd.DataFrame) -> pd.DataFrame:
-    x = _matrix(pdf["v"].sort_index())
-    return pd.DataFrame({"ids": [pdf["vec_id"].to_numpy(np.int64).tobytes()], "v": [x.astype(np.float64).tobytes()]})
+_PACKED = "ids binary, v binary, wanted binary"
 
 
-def shards(vectors: DataFrame, shard: int = SHARD) -> DataFrame:
-    """``ids, v``: the collection as one packed row per shard of about ``shard`` vectors."""
-    n = vectors.count()
-    slots = max(1, -(-n // shard))
-    return vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(slots))).groupBy("shard").applyInPandas(_pack, "ids binary, v binary")
+def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    n = 0
+
+    def shard() -> pd.DataFrame:
+        ids, x, w = (np.concatenate(c) for c in zip(*held))
+        return pd.DataFrame({"ids": [ids.tobytes()], "v": [x.tobytes()], "wanted": [w.tobytes()]})
+
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        x = np.array([np.nan if y is None else y for e in pdf["e"] for y in e], np.float32).reshape(len(pdf), -1) if pdf["e"].map(lambda e: e.dtype == object).any() else np.vstack(pdf["e"].to_numpy())
+        ok = np.isfinite(x).all(1) & (x != 0).any(1)
+        held.append((pdf["vec_id"].to_numpy(np.int64)[ok], x[ok].astype(np.float32), pdf["wanted"].to_numpy(bool)[ok]))
+        n += int(ok.sum())
+        if n >= SHARD:
+            yield shard()
+            held, n = [], 0
+    if n:
+        yield shard()
+
+
+def shards(flagged: DataFrame) -> DataFrame:
+    """``ids, v, wanted``: the usable vectors of ``flagged`` (vec_id, e, wanted), about SHARD of them packed in a row.
+
+    Vectors with a null, NaN or infinite number, or all zero, are left out. The rows lie hashed by vec_id after their
+    duplicates were dropped, so a shard is a random part of the collection and needs no shuffle of its own.
+    """
+    return flagged.select("vec_id", "e", "wanted").mapInPandas(_pack, _PACKED)
+
+
+def _opened(pdf: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    for i, v, w in zip(pdf["ids"], pdf["v"], pdf["wanted"]):
+        ids = np.frombuffer(i, np.int64)
+        yield ids, np.frombuffer(v, np.float32).reshape(len(ids), -1), np.frombuffer(w, bool)
+
+
+_VECTOR = "vec_id bigint, block bigint, v binary"
+
+
+def _taken(packed: DataFrame, blocks: int) -> DataFrame:
+    """The wanted vectors, each with its block of queries."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for ids, x, w in _opened(pdf):
+                yield pd.DataFrame({"vec_id": ids[w], "block": ids[w] % 1_000_003 % blocks, "v": [r.tobytes() for r in x[w]]})
+
+    return packed.mapInPandas(run, _VECTOR)
+
+
+def _sample(packed: DataFrame, n: int) -> DataFrame:
+    """About ``SAMPLE`` of the ``n`` vectors, by the hash of their ids."""
+    part = SAMPLE / max(n, 1)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for ids, x, _ in _opened(pdf):
+                mixed = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+                k = mixed < part * 2.0**32
+                yield pd.DataFrame({"vec_id": ids[k], "block": np.zeros(int(k.sum()), np.int64), "v": [r.tobytes() for r in x[k]]})
+
+    return packed.mapInPandas(run, _VECTOR).limit(2 * SAMPLE)
+
+
+def _rows(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    pdf = df.toPandas()
+    x = np.frombuffer(b"".join(pdf["v"]), np.float32).reshape(len(pdf), -1) if len(pdf) else np.zeros((0, DIM), np.float32)
+    return pdf["vec_id"].to_numpy(np.int64), _unit(x) if len(pdf) else x.astype(np.float64)
 
 
 def _nearest(x: np.ndarray, ids: np.ndarray, q: np.ndarray, qid: np.ndarray, k: int) -> np.ndarray:
@@ -157,42 +217,40 @@ def _nearest(x: np.ndarray, ids: np.ndarray, q: np.ndarray, qid: np.ndarray, k:
 _HITS = "qid bigint, vec_id bigint, similarity double"
 
 
-def similar(packed: DataFrame, sample: pd.DataFrame, queries: pd.DataFrame, k: int = K, factor: float = FACTOR) -> DataFrame:
-    """The shards' best ``k`` for one block of queries (vec_id, v); the block is bounded by the caller."""
-    qid, q = queries["vec_id"].to_numpy(np.int64), _matrix(queries["v"])
-    sid, sx = sample["vec_id"].to_numpy(np.int64), _matrix(sample["v"])
-    sent = packed.sparkSession.sparkContext.broadcast((qid, q, _nearest(sx, sid, q, qid, k)))
+def similar(packed: DataFrame, sample: tuple, queries: tuple, k: int = K, factor: float = FACTOR) -> DataFrame:
+    """The shards' best ``k`` for one block of queries (ids, unit vectors); the block is bounded by the caller."""
+    qid, q = queries
+    sent = packed.sparkSession.sparkContext.broadcast((qid, q, _nearest(sample[1], sample[0], q, qid, k)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         qid, q, bound = sent.value
         for pdf in batches:
-            for i, v in zip(pdf["ids"], pdf["v"]):
-                ids = np.frombuffer(i, np.int64)
-                tree = Tree(ids, np.frombuffer(v, np.float64).reshape(len(ids), -1))
+            for ids, x, _ in _opened(pdf):
+                tree = Tree(ids, _unit(x))
                 # A few more than k, as single precision may swap neighbours at the end of the list.
                 _, rows = tree.search(q, qid, k + 4, bound + 1e-3, factor)
                 a, b = np.nonzero(rows >= 0)
                 r = rows[a, b]
                 yield pd.DataFrame({"qid": qid[a], "vec_id": tree.ids[r], "similarity": np.einsum("ij,ij->i", q[a], tree.x[r])})
 
-    return packed.repartition(packed.sparkSession.sparkContext.defaultParallelism * 2).mapInPandas(run, _HITS)
+    return packed.mapInPandas(run, _HITS)
 
 
-def neighbours(vectors: DataFrame, wanted: DataFrame, k: int = K, factor: float = FACTOR, block: int = BLOCK) -> DataFrame:
-    """``qid, vec_id, similarity, rank``: the ``k`` most similar other vectors of every ``wanted`` vec_id; ties by the smaller vec_id.
+def neighbours(flagged: DataFrame, k: int = K, factor: float = FACTOR, block: int = BLOCK) -> DataFrame:
+    """``qid, vec_id, similarity, rank``: the ``k`` most similar other vectors of every wanted vector of ``flagged`` (vec_id, e, wanted).
 
-    ``wanted`` ids that are not usable, null or repeated give nothing extra. Fewer than ``k`` others give fewer rows.
+    Ties go by the smaller vec_id. Wanted vectors that are not usable have no rows; fewer than ``k`` others give fewer rows.
     """
-    v = cut(vectors)
-    packed = cut(shards(v))
-    sample = v.orderBy(F.xxhash64("vec_id", F.lit(3)), "vec_id").limit(SAMPLE).toPandas()
-    q = cut(v.join(wanted.select("vec_id").where("vec_id is not null").distinct(), "vec_id", "left_semi"))
-    blocks = max(1, -(-q.count() // (block * 4 // 5)))
-    numbered = q.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(5)), F.lit(blocks)))
+    packed = cut(shards(flagged))
+    sizes = packed.select((F.octet_length("ids") / 8).cast("bigint").alias("n"), F.length(F.regexp_replace(F.hex("wanted"), "00", "")).alias("w"))
+    n, w = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.col("w") / 2), F.lit(0.0))).first()
+    sample = _rows(_sample(packed, n))
+    blocks = max(1, -(-int(w) // (block * 4 // 5)))
+    taken = _taken(packed, blocks)
     hits = None
     for i in range(blocks):
-        part = numbered.where(F.col("block") == i).select("vec_id", "v").toPandas()  # about 4/5 of BLOCK vectors
-        found = similar(packed, sample, part, k, factor)
+        # About 4/5 of BLOCK vectors.
+        found = similar(packed.select("ids", "v", "wanted"), sample, _rows(taken.where(F.col("block") == i)), k, factor)
         hits = found if hits is None else hits.unionByName(found)
     rank = F.row_number().over(W.partitionBy("qid").orderBy(F.desc("similarity"), "vec_id"))
     return hits.withColumn("rank", rank).where(F.col("rank") <= k)
@@ -200,14 +258,15 @@ def neighbours(vectors: DataFrame, wanted: DataFrame, k: int = K, factor: float
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """The pairs of every probe vector with its K most similar other vectors; smaller id first, each pair once."""
-    n = neighbours(usable(table(spark, d, "emb_cache")), table(spark, d, "probe_vectors"))
-    return n.select(F.least("qid", "vec_id").alias("vec_a"), F.greatest("qid", "vec_id").alias("vec_b")).distinct()
+    probes = table(spark, d, "probe_vectors").select("vec_id", F.lit(True).alias("wanted")).where("vec_id is not null").distinct()
+    v = last_vectors(table(spark, d, "emb_cache")).join(probes, "vec_id", "left").withColumn("wanted", F.coalesce("wanted", F.lit(False)))
+    return neighbours(v).select(F.least("qid", "vec_id").alias("vec_a"), F.greatest("qid", "vec_id").alias("vec_b")).distinct()
 
 
 def p3_similar(spark: SparkSession, d: str) -> DataFrame:
     """The K most similar other vectors of every usable vector whose vec_id is divisible by 20, against all vectors."""
-    v = usable(table(spark, d, "emb_cache"))
-    return neighbours(v, table(spark, d, "emb_cache").where("vec_id % 20 = 0")).select("qid", "vec_id", F.round("similarity", 6).alias("similarity"), "rank")
+    v = last_vectors(table(spark, d, "emb_cache")).withColumn("wanted", F.col("vec_id") % 20 == 0)
+    return neighbours(v).select("qid", "vec_id", F.round("similarity", 6).alias("similarity"), "rank")
 
 
 QUERIES = {"p3_found": p3_found, "p3_similar": p3_similar}

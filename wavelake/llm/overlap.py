@@ -88,7 +88,7 @@ def matched_recordings(entries: DataFrame, shard: int = SHARD) -> DataFrame:
 def overlaps(entries: DataFrame, cover: float = COVER) -> DataFrame:
     """``train_id, eval_id, dataset, split, es, ee, ts, te``: every pair of a training and an evaluation entry of one recording
     in which the training interval holds at least ``cover`` of the evaluation interval."""
-    m = matched_recordings(entries)
+    m = cut(matched_recordings(entries))
     length = F.col("te") - F.col("ts")
     level = F.when(length == F.lit(float("inf")), F.lit(FOREVER)).otherwise(F.greatest(F.lit(-10), F.least(F.lit(60), F.ceil(F.log2(length))))).cast("int")
     width = F.pow(F.lit(2.0), F.col("level"))
