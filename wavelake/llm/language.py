@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -235,14 +236,15 @@ def train(sample: pd.DataFrame, lattice: Lattice | None = None) -> np.ndarray:
     return fit(counts, lattice)
 
 
-_scorers: dict[int, Scorer] = {}
+_scorers: dict[str, Scorer] = {}
 
 
-def _scorer(sent) -> Scorer:
-    if sent.id not in _scorers:
+def _scorer(tag: str, sent) -> Scorer:
+    """The models of one query, kept by the worker with the words it has scored."""
+    if tag not in _scorers:
         _scorers.clear()
-        _scorers[sent.id] = Scorer(sent.value, Lattice())
-    return _scorers[sent.id]
+        _scorers[tag] = Scorer(sent.value, Lattice())
+    return _scorers[tag]
 
 
 _SEGMENTS = "doc_id bigint, label string, segment bigint, from_char bigint, to_char bigint, n_sentences bigint, language string, confidence double"
@@ -253,10 +255,11 @@ def segments(documents: DataFrame, logp: np.ndarray | None = None) -> DataFrame:
 
     A text without letters has one segment without language and confidence 0; null and blank texts have none.
     """
+    tag = uuid.uuid4().hex
     sent = documents.sparkSession.sparkContext.broadcast(train(labelled_sample(documents)) if logp is None else logp)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = _scorer(sent)
+        scorer = _scorer(tag, sent)
         for pdf in batches:
             rows = []
             for doc, label, text in zip(pdf["doc_id"], pdf["label"], pdf["text"]):
