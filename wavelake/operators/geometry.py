@@ -48,9 +48,10 @@ def ratio_half_even(a: Column, b: Column) -> Column:
 
 
 def crop_starts(frames: Column, window: int = 1001) -> list[Column]:
-    """Begins of the three crops anchored at 1/6, 1/2 and 5/6 of the frames that a window can begin at."""
-    room = frames.cast("bigint") - F.lit(window) + 1
-    return [F.least(F.greatest(ratio_half_even(F.lit(2 * i + 1) * room, F.lit(6)), F.lit(0)), F.greatest(room - 1, F.lit(0))) for i in range(3)]
+    """Begins of three crops of ``window`` frames centred at 1/6, 1/2 and 5/6 of all frames, moved inside where they stand out."""
+    frames = frames.cast("bigint")
+    half = (window - 1) // 2
+    return [F.least(F.greatest(ratio_half_even(F.lit(2 * i + 1) * frames, F.lit(6)) - half, F.lit(0)), frames - window) for i in range(3)]
 
 
 # Frame-count laws, all from the number of samples at the front end's rate.

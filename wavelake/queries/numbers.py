@@ -62,7 +62,7 @@ def q35_ratio_round_even(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "SELECT l_orderkey, l_linenumber, "
-    + ", ".join(f"least(greatest({_ratio_sql(f'({2 * i + 1} * (1001 + l_partkey - 1000))', '6')}, 0), l_partkey) AS c{i}" for i in range(3))
+    + ", ".join(f"least(greatest({_ratio_sql(f'({2 * i + 1} * (1001 + l_partkey))', '6')} - 500, 0), l_partkey) AS c{i}" for i in range(3))
     + " FROM lineitem"
 )
 def q36_crop_starts(spark: SparkSession, d: str) -> DataFrame:
