@@ -116,6 +116,16 @@ class Passages:
         self.ends = np.searchsorted(self.half, np.arange(self.size) + self.paired, "right")
         self.starts = np.searchsorted(self.half, np.arange(self.size), "left")
 
+    def texts(self, halves: np.ndarray) -> np.ndarray:
+        """The words of the passages that begin at ``halves``, padded with -1."""
+        out = np.full((len(halves), 2 * STRIDE), -1, np.int32)
+        first = np.searchsorted(self.doc_of, np.arange(len(self.docs)))
+        for k, (h, d) in enumerate(zip(halves.tolist(), self.doc_of[halves].tolist())):
+            a = (h - first[d]) * STRIDE
+            w = self.docs[d][a : a + 2 * STRIDE]
+            out[k, : len(w)] = w
+        return out
+
     def sums(self, per_term: np.ndarray) -> np.ndarray:
         """Per passage (at its first half) the sum over its words of ``per_term``."""
         h = np.zeros((self.size, *per_term.shape[1:]), per_term.dtype)
@@ -225,11 +235,32 @@ def common_subsequence(doc: np.ndarray, item: np.ndarray) -> int:
     return len(item) - v.bit_count()
 
 
+def bulk_checks(passages: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Longest run and longest common subsequence of many passages (n, 24) and items (n, longest), all pairs at once.
+
+    Both are padded, passages with -1 and items with -2, which equal nothing. The subsequence runs on bit vectors of the passage.
+    """
+    n, width = passages.shape
+    run = np.zeros((n, width + 1), np.int8)
+    best = np.zeros(n, np.int8)
+    powers = np.uint64(1) << np.arange(width, dtype=np.uint64)
+    full = np.uint64((1 << width) - 1)
+    v = np.full(n, full, np.uint64)
+    for j in range(items.shape[1]):
+        eq = passages == items[:, j : j + 1]
+        run[:, 1:] = np.where(eq, run[:, :-1] + 1, 0)
+        np.maximum(best, run.max(1), out=best)
+        u = v & (eq @ powers)
+        v = ((v + u) | (v - u)) & full
+    return best.astype(np.int64), width - np.bitwise_count(v).astype(np.int64)
+
+
 _LEAKS = "item_id bigint, doc_id bigint, cosine double, run bigint, subsequence bigint, n_words bigint"
 
 
-def leaks(documents: DataFrame, items: DataFrame, cosine: float = COSINE, rank: int = RANK) -> DataFrame:
-    """``item_id, doc_id, cosine, run, subsequence, n_words``: every candidate document of every item, checked.
+def leaks(documents: DataFrame, items: DataFrame, cosine: float = COSINE, rank: int = RANK, paraphrases: bool = False) -> DataFrame:
+    """``item_id, doc_id, cosine, run, subsequence, n_words``: every document that holds an answer of an item, or (with
+    ``paraphrases``) a passage whose longest common subsequence with the item comes near one.
 
     ``run`` is the longest run of the item's words in the document, ``subsequence`` the longest common subsequence within
     the stretch of the document around the best passage, ``n_words`` the item's length. Null and empty texts leak nothing.
@@ -248,6 +279,10 @@ def leaks(documents: DataFrame, items: DataFrame, cosine: float = COSINE, rank:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, item_words, least, owner, queries, space = sent.value
         starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        lengths = np.array([len(w) for w in item_words])
+        padded = np.full((len(item_words), lengths.max()), -2, np.int32)
+        for j, w in enumerate(item_words):
+            padded[j, : len(w)] = w
         for pdf in batches:
             p = Passages(list(pdf["words"]))
             doc_ids = pdf["doc_id"].to_numpy()
@@ -260,22 +295,32 @@ def leaks(documents: DataFrame, items: DataFrame, cosine: float = COSINE, rank:
                     c = np.maximum.reduceat(x[k : k + 4096] @ queries.T, starts, axis=1)  # passages x items
                     i, j = np.nonzero(c >= cosine)
                     found.append((owner[starts[j]], at[k + i], c[i, j]))
-            best: dict[tuple[int, int], tuple[float, int]] = {}
             item, half, cos = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+            kept = []
             for j in np.unique(item).tolist():
                 # Neither an answer nor a paraphrase of it without as many words of the item in the passage.
-                mine = item == j
+                mine = np.flatnonzero(item == j)
                 of_item = np.zeros(len(space), np.int32)
                 of_item[item_words[j]] = 1
                 have = np.r_[0, np.cumsum(of_item[p.term])]
-                h, c = half[mine], cos[mine]
-                enough = have[p.ends[h]] - have[p.starts[h]] >= PARAPHRASE * min(ANSWER, len(item_words[j]))
-                for d, c1, h1 in zip(p.doc_of[h[enough]].tolist(), c[enough].tolist(), h[enough].tolist()):
-                    if (d, j) not in best or c1 > best[d, j][0]:
-                        best[d, j] = (c1, h1)
+                h = half[mine]
+                kept.append(mine[have[p.ends[h]] - have[p.starts[h]] >= PARAPHRASE * min(ANSWER, len(item_words[j]))])
+            kept = np.concatenate(kept) if kept else np.zeros(0, np.int64)
+            best: dict[tuple[int, int], tuple[float, int, bool]] = {}
+            for k in range(0, len(kept), 20_000):
+                part = kept[k : k + 20_000]
+                run_, sub = bulk_checks(p.texts(half[part]), padded[item[part]])
+                need = np.minimum(ANSWER, lengths[item[part]])
+                hit = (run_ >= need) | (sub >= PARAPHRASE * need)
+                for d, j, c, h, r in zip(p.doc_of[half[part]][hit].tolist(), item[part][hit].tolist(), cos[part][hit].tolist(), half[part][hit].tolist(), (run_ >= need)[hit].tolist()):
+                    old = best.get((d, j))
+                    if old is None or (r, c) > (old[2], old[0]):
+                        best[d, j] = (c, h, r)
             first = np.searchsorted(p.doc_of, np.arange(len(p.docs)))
             out = []
-            for (d, j), (c, h) in best.items():
+            for (d, j), (c, h, answer) in best.items():
+                if not (answer or paraphrases):
+                    continue
                 w, doc = item_words[j], p.docs[d]
                 mid = (h - first[d]) * STRIDE
                 near = doc[max(0, mid - len(w)) : mid + 2 * STRIDE + len(w)]
@@ -285,8 +330,8 @@ def leaks(documents: DataFrame, items: DataFrame, cosine: float = COSINE, rank:
     return docs.mapInPandas(run, _LEAKS)
 
 
-def _leaks(spark: SparkSession, d: str) -> DataFrame:
-    return leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+def _leaks(spark: SparkSession, d: str, **options) -> DataFrame:
+    return leaks(table(spark, d, "documents"), table(spark, d, "eval_items"), **options)
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
@@ -296,7 +341,7 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p8_report(spark: SparkSession, d: str) -> DataFrame:
     """Leaked items: how many documents hold all of the item, a passage of it, or a paraphrase."""
-    x = _leaks(spark, d)
+    x = _leaks(spark, d, paraphrases=True)
     kind = F.when(F.col("run") == F.col("n_words"), "whole").when(F.col("run") >= F.least(F.lit(ANSWER), "n_words"), "passage").when(F.col("subsequence") >= F.lit(PARAPHRASE) * F.col("n_words"), "paraphrase")
     return x.withColumn("kind", kind).where(F.col("kind").isNotNull()).groupBy("item_id", "kind").agg(F.count(F.lit(1)).alias("n_documents"))
 
