@@ -15,13 +15,13 @@ def plan_segments(df: DataFrame, start: Column, end: Column, duration: Column, s
     """
     if not (seg > 0 and hop > 0 and tol >= 0):
         raise ValueError("seg and hop must be positive, tol not negative")
-    region = F.least(end, duration)
+    region = _region(end, duration)
     n = F.ceil((F.col("_to") - F.col("_from")) / F.lit(float(hop))).cast("bigint")
     at = F.col("_from") + F.lit(float(hop)) * F.col("segment_id").cast("double")
     return (
         df.withColumn("_from", start.cast("double"))
         .withColumn("_to", region.cast("double"))
-        .where(F.col("_from").isNotNull() & ~F.isnan("_from") & ~F.isnan("_to") & (F.col("_to") > F.col("_from")) & (F.col("_to") < F.lit(float("inf"))))
+        .where(F.col("_from").isNotNull() & ~F.isnan("_from") & (F.col("_to") > F.col("_from")) & (F.col("_to") < F.lit(float("inf"))))
         .withColumn("segment_id", F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1)))
         .withColumn("seg_start", at)
         .withColumn("valid_sec", F.least(F.lit(float(seg)), F.col("_to") - F.col("seg_start")))
@@ -31,6 +31,12 @@ def plan_segments(df: DataFrame, start: Column, end: Column, duration: Column, s
     )
 
 
+def _region(end: Column, duration: Column) -> Column:
+    """The earlier of both; null if either is null or NaN."""
+    known = end.isNotNull() & ~F.isnan(end) & duration.isNotNull() & ~F.isnan(duration)
+    return F.when(known, F.least(end, duration))
+
+
 def empty_regions(df: DataFrame, start: Column, end: Column, duration: Column) -> DataFrame:
     """The entries that give no segment; a build stops on them."""
-    return df.where(~F.coalesce((F.least(end, duration) > start) & ~F.isnan(start) & ~F.isnan(F.least(end, duration)), F.lit(False)))
+    return df.where(~F.coalesce((_region(end, duration) > start) & ~F.isnan(start), F.lit(False)))
