@@ -6,11 +6,11 @@ import logging
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from wavelake.models.registry import create_model
 from wavelake.operators import labels as lab
@@ -21,7 +21,7 @@ from wavelake.plans.config import EMB_MARKER, LABELS, RAW_MARKER, EmbConfig, Pre
 from wavelake.plans.storage import Folder, decide
 from wavelake.sources.annotations import Annotation, load_annotation, video_key
 from wavelake.sources.manifest import read_manifest
-from wavelake.sources.wav import decode, durations, raw_type
+from wavelake.sources.wav import decode, durations, list_array, raw_type
 
 log = logging.getLogger(__name__)
 EVENTS = "array<struct<target:bigint,start:double,end:double,value:float>>"
@@ -29,6 +29,15 @@ EVENTS = "array<struct<target:bigint,start:double,end:double,value:float>>"
 MAX_CLASSES = 100_000
 
 
+#: Subfolder of the rows; side files lie beside it.
+ROWS = "rows"
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a table that either build made."""
+    return spark.read.parquet(f"{path.rstrip('/')}/{ROWS}")
+
+
 def out_mode(a: Annotation, label_type: str) -> str:
     """multiclass, multilabel, strong or strong_to_weak."""
     if a.annotation_kind == "weak":
@@ -111,7 +120,7 @@ def prepare_dataset(spark: SparkSession, cfg: PrepConfig, annotation: Annotation
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", cfg.batch_size)
     # A recording's segments stay together, so its file is opened in one place.
     rows = decode(seg.repartition("audio_path", (F.col("segment_id") / 64).cast("int")), cfg.dataset_dir, cfg.sr, cfg.mono, round(cfg.seg_sec * cfg.sr), schema)
-    rows.write.partitionBy("split").parquet(folder.path)
+    rows.write.partitionBy("split").parquet(f"{folder.path}/{ROWS}")
     folder.write_json(LABELS, index)
     folder.write_json(RAW_MARKER, cfg.sidecar() | {"out_mode": mode, "num_classes": len(index)})
     return folder.path
@@ -146,7 +155,7 @@ def prepare_embeddings(spark: SparkSession, cfg: EmbConfig) -> str:
     if cfg.sr < model.front.rate:
         log.warning("segments have %d Hz, the model takes %d Hz", cfg.sr, model.front.rate)
     classes = len(raw.read_json(LABELS))
-    df = spark.read.parquet(raw.path)
+    df = read_table(spark, raw.path)
     mode = label_mode(df.schema)
     frame = cfg.granularity == "frame"
     longest = model.frame_count(cfg.seg_sec) if frame else 0
@@ -158,6 +167,7 @@ def prepare_embeddings(spark: SparkSession, cfg: EmbConfig) -> str:
         ddl += ", geometry array<array<float>>, valid_mask array<boolean>"
     schema = T.StructType.fromDDL(ddl)
     name, rate = cfg.model_name, cfg.sr
+    mono = not isinstance(df.schema["raw"].dataType.elementType, T.ArrayType)
     loaded: dict = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,30 +176,31 @@ def prepare_embeddings(spark: SparkSession, cfg: EmbConfig) -> str:
         for b in batches:
             if not b.num_rows:
                 continue
-            pdf = b.to_pandas()
-            wave = np.stack([np.stack(x) if x.dtype == object else x for x in pdf["raw"]]).astype(np.float32)
-            out = loaded["model"].embed(wave, rate, pdf["valid_sec"].to_numpy(np.float32))
-            cols = {c: pdf[c] for c in kept}
+            raw, valid = b.column("raw"), b.column("valid_sec").to_numpy(zero_copy_only=False).astype(np.float32)
+            flat = raw
+            while pa.types.is_list(flat.type) or pa.types.is_large_list(flat.type):
+                flat = flat.flatten()
+            wave = flat.to_numpy(zero_copy_only=False).astype(np.float32)
+            wave = wave.reshape(b.num_rows, -1) if mono else wave.reshape(b.num_rows, len(raw[0]), -1)
+            out = loaded["model"].embed(wave, rate, valid)
+            cols = {c: b.column(c) for c in kept}
             if frame:
                 pad = lambda x: np.concatenate([x, np.zeros((len(x), longest - x.shape[1], *x.shape[2:]), x.dtype)], 1)
-                emb, geo, mask = (pad(out[k]) for k in ("embedding", "geometry", "valid_mask"))
-                cols |= {"embedding": [[list(r) for r in x] for x in emb], "geometry": [[list(r) for r in x] for x in geo], "valid_mask": list(mask)}
-                spans = geo
+                out = {k: pad(v) for k, v in out.items()}
+                cols |= {"geometry": list_array(out["geometry"]), "valid_mask": list_array(out["valid_mask"])}
+                spans = out["geometry"]
             else:
-                cols |= {"embedding": list(out["embedding"])}
-                spans = np.broadcast_to(np.array([[[-np.inf, np.inf]]], np.float32), (len(pdf), 1, 2))
+                spans = np.broadcast_to(np.array([[[-np.inf, np.inf]]], np.float32), (b.num_rows, 1, 2))
+            cols["embedding"] = list_array(out["embedding"].astype(np.float32))
+            cols["label"] = b.column("label")
             if mode == "strong":
-                states = [state_matrix(s, list(e), classes) for s, e in zip(spans, pdf["label"])]
-                cols["label"] = [[list(r) for r in x] for x in states] if frame else [x[0] for x in states]
-            else:
-                cols["label"] = pdf["label"]
-            yield pa.RecordBatch.from_pandas(pd.DataFrame({f.name: cols[f.name] for f in schema.fields}), schema=arrow, preserve_index=False)
-
-    from pyspark.sql.pandas.types import to_arrow_schema
+                states = np.stack([state_matrix(s, e, classes) for s, e in zip(spans, cols["label"].to_pylist())])
+                cols["label"] = list_array(states if frame else states[:, 0])
+            yield pa.RecordBatch.from_arrays([cols[f.name].cast(f.type) for f in arrow], schema=arrow)
 
     arrow = to_arrow_schema(schema)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", cfg.batch_size)
-    df.select(*kept, "raw", "label").sortWithinPartitions("valid_sec").mapInArrow(run, schema).write.partitionBy("split").parquet(folder.path)
+    df.select(*kept, "raw", "label").sortWithinPartitions("valid_sec").mapInArrow(run, schema).write.partitionBy("split").parquet(f"{folder.path}/{ROWS}")
     raw.copy(LABELS, folder)
     folder.write_json(EMB_MARKER, cfg.sidecar())
     return folder.path

@@ -9,7 +9,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from wavelake.functions import dsp
 
@@ -133,16 +135,34 @@ def durations(paths: DataFrame, root: str) -> DataFrame:
     return paths.select("audio_path").distinct().mapInPandas(run, "audio_path string, duration double")
 
 
-def decode(segments: DataFrame, root: str, rate: int, mono: bool, samples: int, schema) -> DataFrame:
-    """Adds ``raw`` to segments (audio_path, start, valid_sec): each slice is read by itself, neighbours of a file by one task."""
-    columns = [f.name for f in schema.fields]
+def list_array(x: np.ndarray) -> pa.Array:
+    """A numpy array as (nested) Arrow lists, one per row; NaN stays NaN."""
+    out = pa.array(np.ascontiguousarray(x).reshape(-1))
+    for axis in range(x.ndim - 1, 0, -1):
+        n = int(np.prod(x.shape[:axis]))
+        out = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * x.shape[axis]), out)
+    return out
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            x = [load_segment(os.path.join(root, p), a, v, rate, mono, samples) for p, a, v in zip(pdf["audio_path"], pdf["start"], pdf["valid_sec"])]
-            yield pdf.assign(raw=[list(y) if y.ndim == 2 else y for y in x])[columns]
 
-    return segments.sortWithinPartitions("audio_path", "start").mapInPandas(run, schema)
+def decode(segments: DataFrame, root: str, rate: int, mono: bool, samples: int, schema) -> DataFrame:
+    """Adds ``raw`` to segments (audio_path, start, valid_sec): each slice is read by itself, neighbours of a file by one task.
+
+    The other columns pass through as they are. ``schema`` gives the order of the columns.
+    """
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = [load_segment(os.path.join(root, p), a, v, rate, mono, samples).astype(np.float32) for p, a, v in zip(*(b.column(c).to_pylist() for c in ("audio_path", "start", "valid_sec")))]
+            if len({y.shape for y in x}) == 1:
+                raw = list_array(np.stack(x))
+            else:  # recordings of one batch with different numbers of channels
+                raw = pa.array([y.tolist() for y in x], arrow.field("raw").type)
+            yield pa.RecordBatch.from_arrays([(raw if f.name == "raw" else b.column(f.name)).cast(f.type) for f in arrow], schema=arrow)
+
+    return segments.sortWithinPartitions("audio_path", "start").mapInArrow(run, schema)
 
 
 def raw_type(mono: bool) -> str:
