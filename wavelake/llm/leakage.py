@@ -16,6 +16,7 @@ tasks hold only what grows with the evaluation items, which are bounded by MAX_W
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -273,8 +274,9 @@ def leaks(documents: DataFrame, items: DataFrame, cosine: float = COSINE, rank:
     weight = idf(docs, len(it.vocabulary))
     space = weight[:, None] * latent_space(docs, weight, rank)
     passages, owner = it.passages()
+    least = math.ceil(PARAPHRASE * it.least) if paraphrases else it.least
     queries = _unit(np.array([space[p].sum(0) for p in passages])).astype(np.float32)
-    sent = spark.sparkContext.broadcast((it.ids, it.words, it.least, owner, queries, space.astype(np.float32)))
+    sent = spark.sparkContext.broadcast((it.ids, it.words, least, owner, queries, space.astype(np.float32)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, item_words, least, owner, queries, space = sent.value

@@ -123,8 +123,8 @@ def difference(weights: list[float], bins: int) -> list[int]:
         # Both are sorted from full to empty; bins that are not listed are empty.
         free = bins - len(a)
         out = list(a)
-        fresh, shared = b[len(b) - min(free, len(b)) :], b[: len(b) - min(free, len(b))]
-        # The emptiest of b go into empty bins, its fullest join the emptiest listed bins of a.
+        # The fullest of b go into empty bins of a, the next fullest join the emptiest listed ones.
+        fresh, shared = b[:free], b[free:]
         for k, (w, node) in enumerate(shared):
             at = len(a) - 1 - k
             left.append(out[at][1])
