@@ -1,8 +1,8 @@
 """The catalogue of queries: name -> callable(spark, folder), and name -> SQL that gives the same rows."""
 
-from wavelake.queries import data_quality, numbers, timeline
+from wavelake.queries import data_quality, numbers, signals, timeline
 
-MODULES = [data_quality, timeline, numbers]
+MODULES = [data_quality, timeline, numbers, signals]
 
 
 def queries() -> dict:
