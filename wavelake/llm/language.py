@@ -50,8 +50,9 @@ MEMORY = 300_000
 
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 _END = re.compile(r"[.!?。！？…]+[\"'”’)\]]*(?=\s|$|[^\x00-\x7f])|\n")
-#: Tokens that no language is read from: settings, file names, numbers with units, addresses.
-_TECHNICAL = re.compile(r"[A-Za-z0-9_./\\:@&?%+\-]*(?:=|_|\\|://|www\.|@|[A-Za-z][0-9]|[0-9][A-Za-z]|\.[a-z0-9]{2,4}\b(?=\W|$))[A-Za-z0-9_./\\:=@&?%+\-]*")
+#: What marks a token that no language is read from: settings, file names, numbers with units, addresses.
+_MARK = re.compile(r"[=_\\@]|://|www\.|[A-Za-z][0-9]|[0-9][A-Za-z]|\.[a-z0-9]{2,4}\b(?=\W|$)")
+_TOKEN = re.compile(r"[!-~]+")
 
 
 def label_language(label: Column) -> Column:
@@ -64,18 +65,27 @@ def label_language(label: Column) -> Column:
     return out
 
 
-def sentences(text: str) -> list[tuple[int, int]]:
-    """Spans of the sentences with at least one word; they end at a full stop, its kin, or a line end."""
+def _blank(m: re.Match) -> str:
+    return " " * (m.end() - m.start()) if _MARK.search(m[0]) else m[0]
+
+
+def sentences(text: str) -> list[tuple[int, int, list[str]]]:
+    """Begin, end and words of the sentences that have words; they end at a full stop, its kin, or a line end.
+
+    Words are runs of letters in one case and Unicode form; technical tokens hold none, and their dots end nothing.
+    """
+    if _MARK.search(text):
+        text = _TOKEN.sub(_blank, text)
     out, a = [], 0
     for b in [*(m.end() for m in _END.finditer(text)), len(text)]:
-        if b > a and words(text[a:b]):
-            out.append((a, b))
+        if b > a and (w := words(text[a:b])):
+            out.append((a, b, w))
         a = b
     return out
 
 
 def words(text: str) -> list[str]:
-    return _WORD.findall(unicodedata.normalize("NFKC", _TECHNICAL.sub(" ", text)).casefold())
+    return _WORD.findall(text.lower() if text.isascii() else unicodedata.normalize("NFKC", text).casefold())
 
 
 class Lattice:
@@ -119,24 +129,34 @@ def forward(edges, logp: np.ndarray) -> np.ndarray:
     return alpha[-1]
 
 
-def expected(edges, logp: np.ndarray, weight: float, into: np.ndarray) -> None:
-    """Adds the expected piece counts of a word of one language, by forward and backward sums."""
+def expected(edges, p: list[float], weight: float, into: list[float]) -> None:
+    """Adds the expected piece counts of a word of one language, by forward and backward sums over plain probabilities.
+
+    Partial sums are scaled at every position, so that words of any length keep their precision.
+    """
     n = len(edges)
-    alpha = np.full(n + 1, -np.inf)
-    alpha[0] = 0.0
+    alpha, scale = [1.0] + [0.0] * n, [1.0] * (n + 1)
     arcs = []
     for end, starts, pieces in edges:
-        x = np.array([alpha[s] + logp[p].sum() for s, p in zip(starts, pieces)])
-        top = x.max()
-        alpha[end] = top + np.log(np.exp(x - top).sum())
-        arcs += [(s, end, p, v - alpha[s]) for s, p, v in zip(starts, pieces, x)]
-    beta = np.full(n + 1, -np.inf)
-    beta[n] = 0.0
-    for s, e, p, v in reversed(arcs):
-        beta[s] = np.logaddexp(beta[s], beta[e] + v)
-    for s, e, p, v in arcs:
-        g = weight * np.exp(alpha[s] + v + beta[e] - alpha[n])
-        for i in p:
+        total, row = 0.0, []
+        for s, piece in zip(starts, pieces):
+            v = 1.0
+            for i in piece:
+                v *= p[i]
+            # alpha[s] is scaled up to s only.
+            for k in range(s + 1, end):
+                v *= scale[k]
+            row.append((s, end, piece, v))
+            total += alpha[s] * v
+        scale[end] = 1.0 / total
+        alpha[end] = 1.0
+        arcs += [(s, e, piece, v * scale[end]) for s, e, piece, v in row]
+    beta = [0.0] * n + [1.0]
+    for s, e, piece, v in reversed(arcs):
+        beta[s] += v * beta[e]
+    for s, e, piece, v in arcs:
+        g = weight * alpha[s] * v * beta[e]
+        for i in piece:
             into[i] += g
 
 
@@ -159,51 +179,72 @@ def fit(samples: dict[str, Counter], lattice: Lattice, rounds: int = ROUNDS) ->
                 counts[f] += 0.1 * c
         logp = np.full(lattice.size, -np.log(lattice.size))
         for _ in range(rounds):
-            into = np.full(lattice.size, SMOOTH)
+            into, p = [SMOOTH] * lattice.size, np.exp(logp).tolist()
             for w, c in counts.items():
                 if w not in known:
                     known[w] = lattice.edges(w)
-                expected(known[w], logp, c, into)
-            logp = np.log(into / into.sum())
+                expected(known[w], p, c, into)
+            logp = np.log(np.array(into) / sum(into))
         out[:, k] = logp
     return out
 
 
 class Scorer:
-    def __init__(self, logp: np.ndarray, lattice: Lattice):
-        self.logp, self.lattice, self.seen = logp, lattice, {}
-
-    def word(self, w: str) -> np.ndarray:
-        got = self.seen.get(w)
-        if got is None:
-            if len(self.seen) >= MEMORY:
-                self.seen.clear()
-            got = self.seen[w] = forward(self.lattice.edges(w), self.logp)
-        return got
+    """Scores texts in batches; the words' probabilities lie in one table that grows as new words are met."""
 
-    def sentence(self, text: str) -> np.ndarray:
-        s = np.zeros(len(LANGUAGES))
-        for w in words(text):
-            s += self.word(w)
-        return s
-
-    def text(self, text: str) -> tuple[list[tuple[int, int]], np.ndarray]:
-        """Spans of the sentences and their probabilities per language.
+    def __init__(self, logp: np.ndarray, lattice: Lattice):
+        self.logp, self.lattice = logp, lattice
+        self._forget()
+
+    def _forget(self) -> None:
+        self.seen: dict[str, int] = {}
+        self.table = np.zeros((1024, len(LANGUAGES)))
+
+    def _row(self, w: str) -> int:
+        k = self.seen.get(w)
+        if k is None:
+            k = self.seen[w] = len(self.seen)
+            if k >= len(self.table):
+                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+            self.table[k] = forward(self.lattice.edges(w), self.logp)
+        return k
+
+    def _rows(self, flat: list[str]) -> np.ndarray:
+        rows = list(map(self.seen.get, flat))
+        if None in rows:
+            rows = list(map(self._row, flat))
+        return np.array(rows, np.int64)
+
+    def words(self, sentences_: list[list[str]]) -> np.ndarray:
+        """Log probabilities of sentences (each with a word or more), per language."""
+        if len(self.seen) > MEMORY:
+            self._forget()
+        rows = self._rows([w for s in sentences_ for w in s])
+        n = np.array([len(s) for s in sentences_])
+        return np.add.reduceat(self.table[rows], np.cumsum(n) - n, axis=0) if len(n) else np.zeros((0, len(LANGUAGES)))
+
+    def texts(self, texts: list[str]) -> tuple[list[list[tuple[int, int]]], np.ndarray]:
+        """Spans of each text's sentences, and the probabilities of all sentences per language, text after text.
 
         The sentences of a text share a prior over languages, fitted to the text, so that a sentence that says little by
         itself goes with the rest.
         """
-        spans = sentences(text)
-        if not spans:
-            return [], np.zeros((0, len(LANGUAGES)))
-        s = np.array([self.sentence(text[a:b]) for a, b in spans])
-        s -= s.max(1, keepdims=True)
-        prior = np.full(len(LANGUAGES), 1 / len(LANGUAGES))
+        cut = [sentences(t) for t in texts]
+        s = self.words([w for c in cut for _, _, w in c])
+        spans = [[(a, b) for a, b, _ in c] for c in cut]
+        if not len(s):
+            return spans, s
+        n = np.array([len(c) for c in cut])
+        full = np.flatnonzero(n)
+        at = (np.cumsum(n) - n)[full]
+        of = np.repeat(np.arange(len(full)), n[full])
+        s = s - s.max(1, keepdims=True)
+        prior = np.full((len(full), len(LANGUAGES)), 1 / len(LANGUAGES))
         for _ in range(8):
-            x = s + np.log(prior)
+            x = s + np.log(prior)[of]
             x = np.exp(x - x.max(1, keepdims=True))
             x /= x.sum(1, keepdims=True)
-            prior = (x.sum(0) + 0.01) / (len(spans) + 0.01 * len(LANGUAGES))
+            prior = (np.add.reduceat(x, at, axis=0) + 0.01) / (n[full, None] + 0.01 * len(LANGUAGES))
         return spans, x
 
 
@@ -224,15 +265,15 @@ def labelled_sample(documents: DataFrame, per_language: int = SAMPLE) -> pd.Data
 def train(sample: pd.DataFrame, lattice: Lattice | None = None) -> np.ndarray:
     """Models from labelled texts: fitted, then refitted on the sentences that agree with their label."""
     lattice = lattice or Lattice()
-    split = [(c, t[a:b]) for c, t in zip(sample["code"], sample["text"]) for a, b in sentences(t)]
+    split = [(c, w) for c, t in zip(sample["code"], sample["text"]) for _, _, w in sentences(t)]
     counts: dict[str, Counter] = {c: Counter() for c in LANGUAGES}
-    for c, s in split:
-        counts[c].update(words(s))
-    first = Scorer(fit(counts, lattice, 1), lattice)
+    for c, w in split:
+        counts[c].update(w)
+    first = Scorer(fit(counts, lattice, 1), lattice).words([w for _, w in split])
     counts = {c: Counter() for c in LANGUAGES}
-    for c, s in split:
-        if LANGUAGES[int(np.argmax(first.sentence(s)))] == c:
-            counts[c].update(words(s))
+    for (c, w), k in zip(split, first.argmax(1).tolist() if len(split) else []):
+        if LANGUAGES[k] == c:
+            counts[c].update(w)
     return fit(counts, lattice)
 
 
@@ -262,17 +303,20 @@ def segments(documents: DataFrame, logp: np.ndarray | None = None) -> DataFrame:
         scorer = _scorer(tag, sent)
         for pdf in batches:
             rows = []
-            for doc, label, text in zip(pdf["doc_id"], pdf["label"], pdf["text"]):
-                spans, p = scorer.text(text)
+            every, p = scorer.texts(pdf["text"].tolist())
+            best, top = (p.argmax(1).tolist(), p.max(1)) if len(p) else ([], p)
+            k = 0
+            for doc, label, text, spans in zip(pdf["doc_id"], pdf["label"], pdf["text"], every):
                 if not spans:
                     rows.append((doc, label, 0, 0, len(text), 0, None, 0.0))
                     continue
-                best = p.argmax(1)
-                ends = [*(np.flatnonzero(np.diff(best)) + 1), len(best)]
-                i = 0
-                for n, j in enumerate(ends):
-                    rows.append((doc, label, n, spans[i][0], spans[j - 1][1], j - i, LANGUAGES[best[i]], float(p[i:j, best[i]].mean())))
-                    i = j
+                mine = best[k : k + len(spans)]
+                i = n = 0
+                for j in range(1, len(spans) + 1):
+                    if j == len(spans) or mine[j] != mine[i]:
+                        rows.append((doc, label, n, spans[i][0], spans[j - 1][1], j - i, LANGUAGES[mine[i]], float(top[k + i : k + j].mean())))
+                        i, n = j, n + 1
+                k += len(spans)
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in _SEGMENTS.split(", ")])
 
     full = documents.where(F.col("text").isNotNull() & (F.length(F.regexp_replace("text", r"(?U)\s", "")) > 0))
