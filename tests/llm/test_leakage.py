@@ -94,4 +94,6 @@ def test_sums_over_passages():
             begins = h + 1 < halves or halves == 1
             want = sum((per[w] for w in d[h * 12 : h * 12 + 24] if w >= 0), np.zeros(2)) if begins else np.zeros(2)
             assert np.allclose(got[k], want) and p.begins[k] == begins
+            if p.ends[k] > p.starts[k] and begins:
+                assert np.allclose(p.sums_at(np.array([k]), per)[0], want)
             k += 1

@@ -137,6 +137,13 @@ class Passages:
         out[~self.begins] = 0
         return out
 
+    def sums_at(self, halves: np.ndarray, per_term: np.ndarray) -> np.ndarray:
+        """``sums`` of some passages only, all of which hold a word; their words lie side by side."""
+        n = self.ends[halves] - self.starts[halves]
+        at = np.cumsum(n) - n
+        pos = np.arange(int(n.sum())) + np.repeat(self.starts[halves] - at, n)
+        return np.add.reduceat(per_term[self.term[pos]], at, axis=0)
+
     def spread(self, per_passage: np.ndarray) -> np.ndarray:
         """Per half the sum over the passages that hold it."""
         out = per_passage.copy()
@@ -274,7 +281,9 @@ def leaks(documents: DataFrame, items: DataFrame, cosine: float = COSINE, rank:
     weight = idf(docs, len(it.vocabulary))
     space = weight[:, None] * latent_space(docs, weight, rank)
     passages, owner = it.passages()
-    least = math.ceil(PARAPHRASE * it.least) if paraphrases else it.least
+    # An answer needs all its words in one passage, a paraphrase of it a share of them.
+    share = PARAPHRASE if paraphrases else 1.0
+    least = math.ceil(share * it.least)
     queries = _unit(np.array([space[p].sum(0) for p in passages])).astype(np.float32)
     sent = spark.sparkContext.broadcast((it.ids, it.words, least, owner, queries, space.astype(np.float32)))
 
@@ -292,7 +301,7 @@ def leaks(documents: DataFrame, items: DataFrame, cosine: float = COSINE, rank:
             at = np.flatnonzero(p.begins & (inside >= least))
             found = []
             if len(at):
-                x = _unit(p.sums(space)[at]).astype(np.float32)
+                x = _unit(p.sums_at(at, space)).astype(np.float32)
                 for k in range(0, len(at), 4096):
                     c = np.maximum.reduceat(x[k : k + 4096] @ queries.T, starts, axis=1)  # passages x items
                     i, j = np.nonzero(c >= cosine)
@@ -300,20 +309,20 @@ def leaks(documents: DataFrame, items: DataFrame, cosine: float = COSINE, rank:
             item, half, cos = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
             kept = []
             for j in np.unique(item).tolist():
-                # Neither an answer nor a paraphrase of it without as many words of the item in the passage.
+                # What is looked for cannot be there without as many words of the item in the passage.
                 mine = np.flatnonzero(item == j)
                 of_item = np.zeros(len(space), np.int32)
                 of_item[item_words[j]] = 1
                 have = np.r_[0, np.cumsum(of_item[p.term])]
                 h = half[mine]
-                kept.append(mine[have[p.ends[h]] - have[p.starts[h]] >= PARAPHRASE * min(ANSWER, len(item_words[j]))])
+                kept.append(mine[have[p.ends[h]] - have[p.starts[h]] >= share * min(ANSWER, len(item_words[j]))])
             kept = np.concatenate(kept) if kept else np.zeros(0, np.int64)
             best: dict[tuple[int, int], tuple[float, int, bool]] = {}
             for k in range(0, len(kept), 20_000):
                 part = kept[k : k + 20_000]
                 run_, sub = bulk_checks(p.texts(half[part]), padded[item[part]])
                 need = np.minimum(ANSWER, lengths[item[part]])
-                hit = (run_ >= need) | (sub >= PARAPHRASE * need)
+                hit = (run_ >= need) | (sub >= share * need)
                 for d, j, c, h, r in zip(p.doc_of[half[part]][hit].tolist(), item[part][hit].tolist(), cos[part][hit].tolist(), half[part][hit].tolist(), (run_ >= need)[hit].tolist()):
                     old = best.get((d, j))
                     if old is None or (r, c) > (old[2], old[0]):
