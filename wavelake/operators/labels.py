@@ -76,3 +76,19 @@ def frame_codes(geometry: Column, events: Column, classes: int) -> Column:
         return F.coalesce(F.array_max(F.transform(hit, lambda e: state_code(e["value"]))), F.lit(0))
 
     return F.transform(geometry, lambda g: F.transform(F.sequence(F.lit(0), F.lit(classes - 1)), lambda c: cell(g, c)))
+
+
+def frame_hits(clipped: DataFrame, step: float, valid_frames: Column, valid_sec: Column) -> DataFrame:
+    """Adds ``frame``: one row per clipped event (ev_start, ev_end) and frame of the grid of ``frame_geometry`` that it overlaps.
+
+    An event is spread over the few frames around it rather than every frame being looked at; the exact comparison of the bounds, in
+    single precision, follows. An event beyond the last frame's own slot lies in the last frame, which takes what is left.
+    """
+    f = F.lit(step).cast("float")
+    a, b, v, last = F.col("ev_start").cast("float"), F.col("ev_end").cast("float"), valid_sec.cast("float"), valid_frames.cast("bigint") - 1
+    lo = F.greatest(F.lit(0), F.least(last, F.floor(a / f) - 1))
+    hi = F.greatest(lo, F.least(last, F.ceil(b / f) + 1))
+    spread = clipped.withColumn("_last", last).withColumn("frame", F.explode(F.sequence(lo, hi)))
+    start = F.col("frame").cast("float") * f
+    end = F.when(F.col("frame") == F.col("_last"), v).otherwise(F.least((F.col("frame") + 1).cast("float") * f, v))
+    return spread.where(overlaps(a, b, start, end)).drop("_last")

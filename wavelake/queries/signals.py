@@ -15,11 +15,11 @@ from wavelake.session import table
 from wavelake.sources.wav import list_array
 
 RATE = 16_000
-REPEATS = 100
+REPEATS = 500
 
 
 def _waves(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Vectors of 64 numbers repeated to 0.4 seconds; the valid part is (1 + vec_id % 64) / 64 of it."""
+    """Vectors of 64 numbers repeated to two seconds; the valid part is (1 + vec_id % 64) / 64 of it."""
     x = b.column("embedding").flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(b.num_rows, 64)
     n = b.column("vec_id").to_numpy() % 64 + 1
     return np.tile(x, (1, REPEATS)), (n * REPEATS / RATE).astype(np.float32)
@@ -66,7 +66,7 @@ QUERIES = {"q46_frontend_logmel_arrow": q46_frontend_logmel_arrow, "q47_toy_enco
 SQL = {
     "q47_toy_encoder_embed": """
 WITH long AS (SELECT vec_id, vec_id % 64 + 1 AS n, unnest(range(0, 64)) AS i, unnest(embedding)::DOUBLE AS v FROM embeddings WHERE len(embedding) = 64),
--- The valid part is n * 100 samples of the repeated vector: whole copies, and the first of one more.
-w AS (SELECT vec_id, n, i, v, (n * 100) // 64 + CASE WHEN i < (n * 100) % 64 THEN 1 ELSE 0 END AS times FROM long)
-SELECT vec_id, round(sum(v * times), 3) + 0.0 AS total, round(max(n) * 100 / 16000.0::DOUBLE, 6) AS seconds, round(max(n) * 100 / 16000.0::DOUBLE, 6) AS til FROM w GROUP BY vec_id"""
+-- The valid part is n * 500 samples of the repeated vector: whole copies, and the first of one more.
+w AS (SELECT vec_id, n, i, v, (n * 500) // 64 + CASE WHEN i < (n * 500) % 64 THEN 1 ELSE 0 END AS times FROM long)
+SELECT vec_id, round(sum(v * times)::FLOAT::DOUBLE, 3) + 0.0 AS total, round(max(n) * 500 / 16000.0::DOUBLE, 6) AS seconds, round(max(n) * 500 / 16000.0::DOUBLE, 6) AS til FROM w GROUP BY vec_id"""
 }

@@ -126,10 +126,13 @@ frames AS (SELECT g.audio_path, g.segment_id, t,
   FROM grid g JOIN (SELECT audio_path, segment_id, least({FRAMES}, greatest(1, ((greatest((round_even((valid_sec::FLOAT * 16000::FLOAT)::DOUBLE, 0))::BIGINT, 2800) - 400) // 160 + 1) // 16)) AS k FROM segs) USING (audio_path, segment_id))"""
 
 
+def _valid_frames():
+    return F.least(F.lit(FRAMES), F.greatest(F.lit(1), geometry.beats_tokens(geometry.samples(F.col("valid_sec"), 16000))))
+
+
 def _frames(spark: SparkSession, d: str) -> DataFrame:
     s = segments(spark, d).where(F.col("dataset").isin("hyenaset", "datased"))
-    k = F.least(F.lit(FRAMES), F.greatest(F.lit(1), geometry.beats_tokens(geometry.samples(F.col("valid_sec"), 16000))))
-    return s.withColumn("geometry", geometry.frame_geometry(FRAMES, STEP, k, F.col("valid_sec")))
+    return s.withColumn("geometry", geometry.frame_geometry(FRAMES, STEP, _valid_frames(), F.col("valid_sec")))
 
 
 _SEGS_STRONG = SEGS.replace("FROM rec))", "FROM rec WHERE dataset IN ('hyenaset', 'datased')))")
@@ -149,11 +152,9 @@ def q12_frame_geometry(spark: SparkSession, d: str) -> DataFrame:
 SELECT audio_path, segment_id, t AS frame, class_name, max(code) AS code FROM frames JOIN hits USING (audio_path, segment_id) WHERE a < f_end AND b > f_start GROUP BY ALL"""
 )
 def q13_frame_label_code(spark: SparkSession, d: str) -> DataFrame:
-    key = ["audio_path", "segment_id"]
-    ev = _clipped(spark, d).groupBy(*key).agg(F.collect_list(F.struct("class_name", F.col("ev_start").cast("float").alias("a"), F.col("ev_end").cast("float").alias("b"), labels.state_code(F.col("value")).alias("code"))).alias("ev"))
-    f = _frames(spark, d).select(*key, "geometry").join(ev, key).select(*key, F.posexplode("geometry").alias("frame", "g"), "ev")
-    hit = f.select(*key, F.col("frame").cast("bigint").alias("frame"), F.explode(F.filter("ev", lambda e: (e["a"] < F.col("g.end")) & (e["b"] > F.col("g.start")))).alias("e"))
-    return hit.groupBy(*key, "frame", F.col("e.class_name").alias("class_name")).agg(F.max("e.code").alias("code"))
+    c = _clipped(spark, d)
+    hits = labels.frame_hits(c, STEP, _valid_frames(), F.col("valid_sec"))
+    return hits.groupBy("audio_path", "segment_id", "frame", "class_name").agg(F.max(labels.state_code(F.col("value"))).alias("code"))
 
 
 @query(
