@@ -256,7 +256,7 @@ def bulk_checks(passages: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np
     v = np.full(n, full, np.uint64)
     for j in range(items.shape[1]):
         eq = passages == items[:, j : j + 1]
-        run[:, 1:] = np.where(eq, run[:, :-1] + 1, 0)
+        run[:, 1:] = (run[:, :-1] + 1) * eq
         np.maximum(best, run.max(1), out=best)
         u = v & (eq @ powers)
         v = ((v + u) | (v - u)) & full
@@ -308,19 +308,19 @@ def leaks(documents: DataFrame, items: DataFrame, cosine: float = COSINE, rank:
                     found.append((owner[starts[j]], at[k + i], c[i, j]))
             item, half, cos = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
             kept = []
-            for j in np.unique(item).tolist():
+            order = np.argsort(item, kind="stable")
+            for mine in np.split(order, np.flatnonzero(np.diff(item[order])) + 1) if len(order) else []:
                 # What is looked for cannot be there without as many words of the item in the passage.
-                mine = np.flatnonzero(item == j)
-                of_item = np.zeros(len(space), np.int32)
+                j = int(item[mine[0]])
+                of_item = np.zeros(len(space), np.int8)
                 of_item[item_words[j]] = 1
-                have = np.r_[0, np.cumsum(of_item[p.term])]
-                h = half[mine]
-                kept.append(mine[have[p.ends[h]] - have[p.starts[h]] >= share * min(ANSWER, len(item_words[j]))])
+                kept.append(mine[p.sums_at(half[mine], of_item) >= share * min(ANSWER, len(item_words[j]))])
             kept = np.concatenate(kept) if kept else np.zeros(0, np.int64)
+            kept = kept[np.argsort(lengths[item[kept]], kind="stable")]  # items of like length share a step
             best: dict[tuple[int, int], tuple[float, int, bool]] = {}
-            for k in range(0, len(kept), 20_000):
-                part = kept[k : k + 20_000]
-                run_, sub = bulk_checks(p.texts(half[part]), padded[item[part]])
+            for k in range(0, len(kept), 5_000):
+                part = kept[k : k + 5_000]
+                run_, sub = bulk_checks(p.texts(half[part]), padded[item[part], : lengths[item[part]].max()])
                 need = np.minimum(ANSWER, lengths[item[part]])
                 hit = (run_ >= need) | (sub >= share * need)
                 for d, j, c, h, r in zip(p.doc_of[half[part]][hit].tolist(), item[part][hit].tolist(), cos[part][hit].tolist(), half[part][hit].tolist(), (run_ >= need)[hit].tolist()):
