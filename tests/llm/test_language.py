@@ -49,6 +49,15 @@ def test_forward_sums_all_segmentations(models):
         assert np.allclose(lg.forward(lattice.edges(word), logp), np.log(total(0)))
 
 
+def test_batches_equal_single_words(models):
+    lattice, logp = models
+    every = ["wind", "regn", "ж", "日𝄞x", "хж", "y" * 35, "y" * 90, "z" * 30]
+    s = lg.Scorer(logp, lattice)
+    got = s.words([[w] for w in every] + [every[:3]])
+    want = np.array([lg.forward(lattice.edges(w), logp) for w in every])
+    assert np.allclose(got[:-1], want) and np.allclose(got[-1], want[:3].sum(0)) and np.allclose(s.words([["regn"]])[0], want[1])
+
+
 def test_expected_counts(models):
     """Against the counts over all segmentations written out."""
     lattice, logp = models

@@ -194,25 +194,65 @@ class Scorer:
 
     def __init__(self, logp: np.ndarray, lattice: Lattice):
         self.logp, self.lattice = logp, lattice
+        # Plain probabilities; the last row is the piece that there is not. Characters outside the vocabulary get rows behind it.
+        self.p = np.concatenate([np.exp(logp), np.zeros((1, logp.shape[1]))])
+        self.none = len(logp)
+        self.chars: dict[str, int] = {}
         self._forget()
 
     def _forget(self) -> None:
         self.seen: dict[str, int] = {}
         self.table = np.zeros((1024, len(LANGUAGES)))
 
-    def _row(self, w: str) -> int:
-        k = self.seen.get(w)
+    def _char(self, c: str) -> int:
+        k = self.chars.get(c)
         if k is None:
-            k = self.seen[w] = len(self.seen)
-            if k >= len(self.table):
-                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            self.table[k] = forward(self.lattice.edges(w), self.logp)
+            k = self.chars[c] = len(self.p)
+            self.p = np.concatenate([self.p, np.exp(self.logp[self.lattice.bytes[list(c.encode("utf-8", "replace"))]].sum(0, keepdims=True))])
         return k
 
+    def _together(self, same: list[str]) -> np.ndarray:
+        """The forward sums of words of one length, position by position for all of them at once."""
+        n, size = len(same), len(same[0]) + 1
+        spans = min(size, self.lattice.longest)
+        arcs = np.full((n, size, spans), self.none, np.int64)
+        get, known = self.lattice.ids.get, self.lattice.chars
+        for r, w in enumerate(same):
+            t = "▁" + w
+            row = arcs[r]
+            for end in range(1, size + 1):
+                for start in range(max(0, end - spans), end):
+                    k = get(t[start:end])
+                    if k is not None:
+                        row[end - 1, end - start - 1] = k
+                if t[end - 1] not in known:
+                    row[end - 1, 0] = self._char(t[end - 1])
+        alpha = np.zeros((size + 1, n, self.p.shape[1]))
+        alpha[0] = 1.0
+        for end in range(1, size + 1):
+            for span in range(1, min(end, spans) + 1):
+                alpha[end] += alpha[end - span] * self.p[arcs[:, end - 1, span - 1]]
+        return np.log(alpha[size])
+
+    def _learn(self, new: list[str]) -> None:
+        by_length: dict[int, list[str]] = {}
+        for w in new:
+            by_length.setdefault(len(w), []).append(w)
+        for size, same in by_length.items():
+            # Long words would leave the range of plain probabilities.
+            got = self._together(same) if size <= 30 else np.array([forward(self.lattice.edges(w), self.logp) for w in same])
+            k = len(self.seen)
+            while k + len(same) > len(self.table):
+                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+            self.table[k : k + len(same)] = got
+            for w in same:
+                self.seen[w] = len(self.seen)
+
     def _rows(self, flat: list[str]) -> np.ndarray:
         rows = list(map(self.seen.get, flat))
         if None in rows:
-            rows = list(map(self._row, flat))
+            self._learn([w for w in dict.fromkeys(flat) if w not in self.seen])
+            rows = list(map(self.seen.get, flat))
         return np.array(rows, np.int64)
 
     def words(self, sentences_: list[list[str]]) -> np.ndarray:
