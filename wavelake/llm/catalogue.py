@@ -1,6 +1,6 @@
 """The queries of this package, and the SQL that gives the same rows where SQL can."""
 
-from wavelake.llm import language, leakage, mixing, neighbours, overlap, pieces, quota, related
+from wavelake.llm import language, leakage, mixing, neighbours, overlap, pieces, quota, related, sql
 
 MODULES = [overlap, related, neighbours, pieces, quota, leakage, mixing, language]
 
@@ -10,4 +10,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {k: v for m in MODULES for k, v in getattr(m, "SQL", {}).items()}
+    return dict(sql.SQL)

@@ -268,7 +268,7 @@ _LEAKS = "item_id bigint, doc_id bigint, cosine double, run bigint, subsequence
 
 def leaks(documents: DataFrame, items: DataFrame, cosine: float = COSINE, rank: int = RANK, paraphrases: bool = False) -> DataFrame:
     """``item_id, doc_id, cosine, run, subsequence, n_words``: every document that holds an answer of an item, or (with
-    ``paraphrases``) a passage whose longest common subsequence with the item comes near one.
+    ``paraphrases``) a paraphrase of all of it.
 
     ``run`` is the longest run of the item's words in the document, ``subsequence`` the longest common subsequence within
     the stretch of the document around the best passage, ``n_words`` the item's length. Null and empty texts leak nothing.
@@ -335,7 +335,11 @@ def leaks(documents: DataFrame, items: DataFrame, cosine: float = COSINE, rank:
                 w, doc = item_words[j], p.docs[d]
                 mid = (h - first[d]) * STRIDE
                 near = doc[max(0, mid - len(w)) : mid + 2 * STRIDE + len(w)]
-                out.append((ids[j], doc_ids[d], c, longest_run(doc, w), common_subsequence(near, w), len(w)))
+                if not answer and np.isin(near, w).sum() < PARAPHRASE * len(w):
+                    continue  # too few words of the item for a paraphrase of all of it
+                sub = common_subsequence(near, w)
+                if answer or sub >= PARAPHRASE * len(w):
+                    out.append((ids[j], doc_ids[d], c, longest_run(doc, w), sub, len(w)))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in _LEAKS.split(", ")]).astype({"item_id": "int64", "doc_id": "int64", "cosine": float, "run": "int64", "subsequence": "int64", "n_words": "int64"})
 
     return docs.mapInPandas(run, _LEAKS)
