@@ -12,12 +12,12 @@ FRONTS = [fe.LogMel(32_000), fe.LogMel(16_000), fe.FixedFbank(), fe.FusedLogMel(
 TINY = {
     "panns-32k-cnn14-max_mean": dict(width=2),
     "panns-32k-cnn14-decision_level_max": dict(width=2),
-    "ast-patch": dict(dim=24, depth=1, n_heads=2),
-    "clap-htsat-fused": dict(dim=16, width=24, depths=(2, 2), side=128),
-    "wav2vec2-base": dict(dim=32, depth=1, n_heads=2, channels=8),
+    "MIT/ast-finetuned-audioset-10-10-0.4593": dict(dim=24, depth=1, n_heads=2),
+    "laion/clap-htsat-fused": dict(dim=16, width=24, depths=(2, 2), side=128),
+    "facebook/wav2vec2-base": dict(dim=32, depth=1, n_heads=2, channels=8),
     "atst-clip-small": dict(depth=2, n_blocks=2),
     "atst-frame-small": dict(depth=2, n_blocks=2),
-    "beats-iter1": dict(dim=32, depth=2, n_heads=2, embed=16),
+    "beats_iter1": dict(dim=32, depth=2, n_heads=2, embed=16),
 }
 
 
@@ -102,7 +102,7 @@ def test_short_signals_are_repeated():
 @pytest.mark.parametrize("name", TINY)
 @pytest.mark.parametrize("granularity", ["clip", "frame"])
 def test_encoders(name, granularity):
-    if granularity == "frame" and name in ("clap-htsat-fused", "atst-clip-small"):
+    if granularity == "frame" and name in ("laion/clap-htsat-fused", "atst-clip-small"):
         with pytest.raises(ValueError):
             create_model(name, granularity=granularity, pretrained=False, **TINY[name])
         return
@@ -147,21 +147,21 @@ def test_pieces():
 
 
 def test_weights_from_a_file(tmp_path):
-    kw = TINY["beats-iter1"]
-    m = create_model("beats-iter1", granularity="clip", pretrained=False, **kw)
+    kw = TINY["beats_iter1"]
+    m = create_model("beats_iter1", granularity="clip", pretrained=False, **kw)
     x = RNG.standard_normal((1, 16_000)).astype(np.float32)
     want = m.embed(x, 16_000)["embedding"]
-    np.savez(tmp_path / "beats-iter1.npz", **m.encoder.p.made)
-    again = create_model("beats-iter1", granularity="clip", pretrained_dir=str(tmp_path), seed=5, **kw)
+    np.savez(tmp_path / "beats_iter1.npz", **m.encoder.p.made)
+    again = create_model("beats_iter1", granularity="clip", pretrained_dir=str(tmp_path), seed=5, **kw)
     assert np.array_equal(again.embed(x, 16_000)["embedding"], want)
     with pytest.raises(ValueError):
-        L.Params(path=str(tmp_path / "beats-iter1.npz"), sha256="0" * 64)
-    assert L.Params(path=str(tmp_path / "beats-iter1.npz"), sha256=L.digest(str(tmp_path / "beats-iter1.npz"))).loaded is not None
+        L.Params(path=str(tmp_path / "beats_iter1.npz"), sha256="0" * 64)
+    assert L.Params(path=str(tmp_path / "beats_iter1.npz"), sha256=L.digest(str(tmp_path / "beats_iter1.npz"))).loaded is not None
 
 
 def test_registry():
     names = list_models()
-    assert len([n for n in names if n.startswith("beats-")]) == 15 and len([n for n in names if n.startswith("atst-")]) == 4 and names == sorted(names)
+    assert len([n for n in names if "beats" in n]) == 15 and len([n for n in names if n.startswith("atst-")]) == 4 and names == sorted(names)
     with pytest.raises(ValueError):
         ModelSpec(fe.Waveform, object, {"granularity": "clip"})
     register_model("mine", ModelSpec(lambda: fe.Waveform(False), type(create_model("checksum", granularity="clip").encoder)))

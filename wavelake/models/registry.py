@@ -66,7 +66,7 @@ def create_model(name: str, *, granularity: str, pretrained: bool = True, pretra
     """The model of that name.
 
     Every further argument goes to whichever of front end and encoder declares it, to both if both do; one that neither declares, or
-    that the model fixes, is a TypeError. Weights come from ``{pretrained_dir}/{name}.npz``; without ``pretrained`` they are drawn.
+    that the model fixes, is a TypeError. Weights come from ``{pretrained_dir}/{name}.npz`` (with ``--`` for ``/``); without ``pretrained`` they are drawn.
     The granularity is checked before any weights are looked for.
     """
     if name not in _MODELS:
@@ -85,7 +85,7 @@ def create_model(name: str, *, granularity: str, pretrained: bool = True, pretra
     if pretrained and spec.encoder is not en.Checksum:
         if pretrained_dir is None:
             raise FileNotFoundError(f"{name}: weights are only read from a local folder; name it in pretrained_dir, or say pretrained=False")
-        encoder.p = Params(seed, os.path.join(pretrained_dir, f"{name}.npz"))
+        encoder.p = Params(seed, os.path.join(pretrained_dir, f"{name.replace('/', '--')}.npz"))
     return ModelPair(spec.front(**{k: v for k, v in every.items() if k in to_front}), encoder)
 
 
@@ -93,17 +93,17 @@ def _built_in() -> None:
     for rate, pooling in ((32_000, "max_mean"), (32_000, "decision_level_max"), (16_000, "max_mean")):
         hop = 320 if rate == 32_000 else 160
         register_model(f"panns-{rate // 1000}k-cnn14-{pooling}", ModelSpec(fe.LogMel, en.ConvNet, {"rate": rate, "pooling": pooling, "hop": hop}))
-    register_model("ast-patch", ModelSpec(fe.FixedFbank, en.PatchTransformer))
-    register_model("clap-htsat-fused", ModelSpec(fe.FusedLogMel, en.ShiftedWindows))
-    register_model("wav2vec2-base", ModelSpec(fe.Waveform, en.WaveTransformer))
+    # Names of published checkpoints.
+    register_model("MIT/ast-finetuned-audioset-10-10-0.4593", ModelSpec(fe.FixedFbank, en.PatchTransformer))
+    register_model("laion/clap-htsat-fused", ModelSpec(fe.FusedLogMel, en.ShiftedWindows))
+    register_model("facebook/wav2vec2-base", ModelSpec(fe.Waveform, en.WaveTransformer, {"standardise": True}))
     for size, width, n in (("small", 384, 6), ("base", 768, 12)):
         register_model(f"atst-clip-{size}", ModelSpec(fe.FlooredMel, en.ChunkedTransformer, {"width": width, "n_heads": n, "class_token": True}))
         register_model(f"atst-frame-{size}", ModelSpec(fe.FlooredMel, en.ChunkedTransformer, {"width": width, "n_heads": n, "class_token": False}))
-    # Fifteen checkpoints of one architecture: three iterations, of which the later two come plain, and tuned on 20 thousand or
-    # 2 million clips in several versions.
-    versions = ["iter1", "iter1-tuned1", "iter1-tuned2", "iter2", "iter2-tuned1", "iter2-tuned2", "iter3", "iter3-tuned1", "iter3-tuned2", "iter3-plus-20k", "iter3-plus-20k-tuned1", "iter3-plus-20k-tuned2", "iter3-plus-2m", "iter3-plus-2m-tuned1", "iter3-plus-2m-tuned2"]
-    for v in versions:
-        register_model(f"beats-{v}", ModelSpec(fe.PoveyFbank, en.GatedTransformer))
+    # Five pretrained checkpoints of one architecture, each also tuned in two versions.
+    for base in ("beats_iter1", "beats_iter2", "beats_iter3", "beats_iter3_plus_as20k", "beats_iter3_plus_as2m"):
+        for name in (base, f"fine_tuned_{base}_cpt1", f"fine_tuned_{base}_cpt2"):
+            register_model(name, ModelSpec(fe.PoveyFbank, en.GatedTransformer))
     register_model("checksum", ModelSpec(lambda: fe.Waveform(False), en.Checksum))
 
 
