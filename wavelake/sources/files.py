@@ -65,3 +65,8 @@ def first_column(spark: SparkSession, path: str, expected: str, sep: str) -> Dat
 def existing(entries: DataFrame, files: DataFrame) -> DataFrame:
     """The entries whose audio_path is among the files."""
     return entries.join(files.select("audio_path"), "audio_path", "left_semi")
+
+
+def count_by_folder(entries: DataFrame, depth: int = 2) -> DataFrame:
+    """``folder, n``: entries by the part of their path at ``depth`` (from 0)."""
+    return entries.groupBy(F.get(F.split("audio_path", "/"), depth).alias("folder")).agg(F.count(F.lit(1)).alias("n"))
