@@ -26,7 +26,7 @@ def brute(ids, x, wanted, k):
 
 
 def run(spark, rows, wanted, **kw):
-    df = spark.createDataFrame([(i, None if e is None else [float(y) for y in e], T0, "clash") for i, e in rows], SCHEMA)
+    df = spark.createDataFrame([(i, None if e is None else [None if y is None else float(y) for y in e], T0, "clash") for i, e in rows], SCHEMA)
     v = nb.last_vectors(df).withColumn("wanted", nb.F.col("vec_id").isin(wanted) if wanted else nb.F.lit(False))
     got = {}
     for r in nb.neighbours(v, **kw).orderBy("qid", "rank").collect():
@@ -59,8 +59,8 @@ def test_recall_of_one_tree(factor, least):
 
 def test_unusable_vectors_and_copies(spark):
     x = clustered(30)
-    rows = [(i, e) for i, e in enumerate(x)] + [(0, x[0]), (100, None), (101, np.zeros(nb.DIM)), (102, x[0][:32]), (103, np.r_[np.nan, x[0][1:]]), (104, np.r_[np.inf, x[0][1:]]), (None, x[0]), (105, x[3]), (106, x[3] * np.float32(2.0**-80))]
-    got = run(spark, rows, [0, 3, 100, 101, 103, 999], k=3)
+    rows = [(i, e) for i, e in enumerate(x)] + [(0, x[0]), (100, None), (101, np.zeros(nb.DIM)), (102, x[0][:32]), (103, np.r_[np.nan, x[0][1:]]), (104, np.r_[np.inf, x[0][1:]]), (107, [None, *x[0][1:]]), (None, x[0]), (105, x[3]), (106, x[3] * np.float32(2.0**-80))]
+    got = run(spark, rows, [0, 3, 100, 101, 103, 107, 999], k=3)
     assert set(got) == {0, 3} and got[3][:2] == [105, 106] and 0 not in got[0]
     assert run(spark, [(1, x[0]), (2, x[1])], [1], k=8) == {1: [2]}
     assert run(spark, [(1, x[0])], [1], k=8) == {}

@@ -58,6 +58,7 @@ def test_groups(spark):
     d = spark.createDataFrame([(" 100", " Ann"), ("200.wav", "ANN "), ("300", "unknown"), ("400", "Unknown "), ("500", "ann"), (None, "ann"), ("x", None)], "fname string, uploader string")
     g = {r["entry_id"]: r["group_id"] for r in rl.groups(e, d).collect()}
     assert g == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 6, 7: 6, 8: 6, 9: 6, 10: 10, 11: 10, 12: 12, 13: 13, 15: 12}
+    assert rl.groups(e.limit(0), d).count() == 0 and rl.groups(e, d.limit(0)).count() == 14
     torn = {(r["group_id"], r["entry_id"]) for r in rl.scattered(rl.groups(e, d)).collect()}
     assert torn == {(k, i) for i, k in g.items() if k in (1, 6, 10, 12)}
 

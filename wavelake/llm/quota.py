@@ -41,11 +41,15 @@ def shortfalls(rows: DataFrame, targets: DataFrame) -> DataFrame:
 
     ``n`` is a tenth of the labelled rows, rounded down; ``want`` = target_share * n. A null share or minimum counts as zero.
     """
-    n = rows.agg(F.floor(F.count(F.lit(1)) / F.lit(TENTH)).cast("bigint").alias("n"))
-    have = rows.select(F.explode("classes").alias("label_idx")).groupBy("label_idx").agg(F.count(F.lit(1)).alias("have"))
+    # Every row counts once more under the null class, so one aggregate gives the classes and the rows.
+    every = F.concat("classes", F.array(F.lit(None).cast("bigint")))
+    have = rows.select(F.explode(every).alias("label_idx")).groupBy("label_idx").agg(F.count(F.lit(1)).alias("have"))
     t = targets.where(F.col("label_idx").isNotNull()).groupBy("label_idx").agg(F.max(F.coalesce("target_share", F.lit(0.0))).alias("share"), F.max(F.coalesce("min_rows", F.lit(0))).alias("min_rows"))
-    # n is one row; the join with it is a projection.
-    return t.join(have, "label_idx", "left").join(n).select("label_idx", F.coalesce("have", F.lit(0)).cast("bigint").alias("have"), (F.col("share") * F.col("n")).alias("want"), "min_rows", "n")
+    # One row per class from here on.
+    both = t.join(have, "label_idx", "full")
+    n = F.floor(F.coalesce(F.max(F.when(F.col("label_idx").isNull(), F.col("have"))).over(W.partitionBy()), F.lit(0)) / F.lit(TENTH)).cast("bigint")
+    known = both.withColumn("n", n).where(F.col("share").isNotNull())
+    return known.select("label_idx", F.coalesce("have", F.lit(0)).cast("bigint").alias("have"), (F.col("share") * F.col("n")).alias("want"), "min_rows", "n")
 
 
 def quotas(classes: list[tuple[int, float, int, int]], n: int) -> dict[int, int]:
