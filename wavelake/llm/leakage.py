@@ -48,6 +48,8 @@ def words(text: str | None) -> list[str]:
     """Runs of letters and digits; case and Unicode form make no difference. A null text has none."""
     if text is None or text != text:
         return []
+    if text.isascii():
+        return _WORD.findall(text.lower())
     return _WORD.findall(unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", text).casefold()))
 
 
@@ -151,13 +153,23 @@ class Passages:
         return out
 
 
+#: Documents whose sums stay in a processor's cache.
+FEW = 256
+
+
+def _few(batches: Iterator[pd.DataFrame]) -> Iterator[Passages]:
+    for pdf in batches:
+        packed = list(pdf["words"])
+        for k in range(0, len(packed), FEW):
+            yield Passages(packed[k : k + FEW])
+
+
 def idf(docs: DataFrame, size: int) -> np.ndarray:
     """Inverse passage frequency of every word of the items, over all passages of all documents."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n, df = 0, np.zeros(size, np.int64)
-        for pdf in batches:
-            p = Passages(list(pdf["words"]))
+        for p in _few(batches):
             n += int(p.begins.sum())
             if len(p.term):
                 pairs = np.unique(np.concatenate([p.half * size + p.term, (p.half[(b := p.half > 0)] - 1) * size + p.term[b]]))
@@ -180,8 +192,7 @@ def project(docs: DataFrame, weight: np.ndarray, basis: np.ndarray) -> np.ndarra
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         w, wb = sent.value
         total = np.zeros((terms, cols), np.float64)
-        for pdf in batches:
-            p = Passages(list(pdf["words"]))
+        for p in _few(batches):
             if not len(p.term):
                 continue
             norm = p.sums(w * w)
