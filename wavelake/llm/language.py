@@ -359,7 +359,7 @@ def segments(documents: DataFrame, logp: np.ndarray | None = None) -> DataFrame:
                 k += len(spans)
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in _SEGMENTS.split(", ")])
 
-    full = documents.where(F.col("text").isNotNull() & (F.length(F.regexp_replace("text", r"(?U)\s", "")) > 0))
+    full = documents.where(F.col("text").isNotNull() & F.col("text").rlike(r"(?U)\S"))
     return full.select("doc_id", F.col("lang").alias("label"), "text").mapInPandas(run, _SEGMENTS)
 
 
