@@ -97,3 +97,25 @@ def test_sums_over_passages():
             if p.ends[k] > p.starts[k] and begins:
                 assert np.allclose(p.sums_at(np.array([k]), per)[0], want)
             k += 1
+
+
+def test_answers_among_other_words(spark):
+    """Answers of words that stand nowhere else, next to words of other items that stand everywhere: the leading directions hold little of them."""
+    rng = random.Random(8)
+    often = [[f"t{k}x{j}" for j in range(12)] for k in range(100)]
+    rare = iter([f"w{k}" for k in range(3000)])
+    items = [(k, " ".join(w)) for k, w in enumerate(often)] + [(200 + k, " ".join(next(rare) for _ in range(rng.choice([9, 12, 30])))) for k in range(60)]
+    docs = [(d, " ".join(x for _ in range(6) for x in rng.sample(rng.choice(often), 12))) for d in range(900)]
+    for d, (_, t) in enumerate(items[100:], 1000):
+        w = t.split()
+        a = rng.randrange(max(1, len(w) - 11))
+        docs.append((d, " ".join([*rng.sample(rng.choice(often), 12), *w[a : a + 12], *rng.sample(rng.choice(often), 12)])))
+    got = lk.leaks(spark.createDataFrame([(*d, "") for d in docs], DOC), spark.createDataFrame([(i, "test", t) for i, t in items], ITEM)).where("run >= least(12, n_words)")
+    assert {(r["item_id"], r["doc_id"]) for r in got.collect()} == brute(docs, items)
+
+
+def test_squares():
+    rng = np.random.default_rng(1)
+    t, w = rng.integers(-1, 5, (20, 24)).astype(np.int32), rng.random(5)
+    want = [((np.bincount(r[r >= 0], minlength=5) * w) ** 2).sum() for r in t]
+    assert np.allclose(lk.squares(t, w), want)

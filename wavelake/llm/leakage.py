@@ -1,10 +1,15 @@
 """Evaluation texts that leak into a training corpus (problem 8).
 
 Latent semantic retrieval: passages of 24 words (12 apart) of every document are TF-IDF vectors over the words of the evaluation items;
-a distributed randomised SVD of that matrix gives a latent space, in which document passages near an evaluation passage by
-cosine become candidates. Candidates are checked on the whole document: the longest common run of words (the answer
+a distributed randomised SVD of that matrix gives a latent space, in which document passages near an evaluation passage
+become candidates. Candidates are checked on the whole document: the longest common run of words (the answer
 check: does the item, or twelve words of it on end, stand there), and the longest common subsequence for paraphrases.
 
+Candidates for answers lose none. A passage x that holds an answer q has every word of q at least as often, so x.q >= |q|^2 in
+the weighted words; and x.q is at most the product of their latent vectors plus the product of the lengths of what the latent
+space leaves out of each. Passages below |q|^2 by that bound hold no answer. Candidates for paraphrases have a cosine of COSINE
+with an evaluation passage in the latent space, which is no bound.
+
 Words outside the evaluation items weigh nothing in an evaluation passage, so the matrix needs their columns only; its statistics
 come from all passages of all documents. Any run of 12 words lies wholly in one passage. A passage with fewer words
 of the items than the shortest answer (at most 12) cannot hold an answer and is not searched; no other passage is skipped.
@@ -81,6 +86,11 @@ class Items:
                 owner.append(k)
         return out, np.array(owner, np.int64)
 
+    def answers(self) -> tuple[list[np.ndarray], np.ndarray]:
+        """Every answer, ANSWER words on end of an item or all of a shorter one, and the item of each."""
+        out = [w[a : a + ANSWER] for w in self.words for a in range(max(1, len(w) - ANSWER + 1))]
+        return out, np.repeat(np.arange(len(self.words)), [max(1, len(w) - ANSWER + 1) for w in self.words])
+
 
 def numbered(documents: DataFrame, items: Items) -> DataFrame:
     """``doc_id, words``: each document's words as packed numbers, -1 for a word of no item."""
@@ -227,6 +237,24 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
+#: Rounding that the bound on answers allows for, as a part of |q|^2.
+SLACK = 1e-3
+
+
+def squares(texts: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Squared length of each text's vector of weighted word counts; texts are padded with -1."""
+    w = np.where(texts >= 0, weight[texts] ** 2, 0.0)
+    out = np.zeros(len(texts))
+    for j in range(texts.shape[1]):
+        out += w[:, j] * (texts == texts[:, j : j + 1]).sum(1)
+    return out
+
+
+def with_rest(latent: np.ndarray, square: np.ndarray) -> np.ndarray:
+    """Latent vectors with the length of what the latent space leaves out of each as one more column."""
+    return np.column_stack([latent, np.sqrt(np.maximum(square - (latent**2).sum(1), 0.0))])
+
+
 def longest_run(doc: np.ndarray, item: np.ndarray) -> int:
     """Longest run of words that stands in both."""
     if not len(doc) or not len(item):
@@ -296,11 +324,18 @@ def leaks(documents: DataFrame, items: DataFrame, cosine: float = COSINE, rank:
     share = PARAPHRASE if paraphrases else 1.0
     least = math.ceil(share * it.least)
     queries = _unit(np.array([space[p].sum(0) for p in passages])).astype(np.float32)
-    sent = spark.sparkContext.broadcast((it.ids, it.words, least, owner, queries, space.astype(np.float32)))
+    answers, answer_owner = it.answers()
+    wide = np.full((len(answers), ANSWER), -1, np.int32)
+    for k, a in enumerate(answers):
+        wide[k, : len(a)] = a
+    square = squares(wide, weight)
+    bounds = (with_rest(np.array([space[a].sum(0) for a in answers]), square) / square[:, None]).astype(np.float32)
+    sent = spark.sparkContext.broadcast((it.ids, it.words, least, owner, queries, answer_owner, bounds, weight, space))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, item_words, least, owner, queries, space = sent.value
+        ids, item_words, least, owner, queries, answer_owner, bounds, weight, space = sent.value
         starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        answer_starts = np.flatnonzero(np.r_[True, answer_owner[1:] != answer_owner[:-1]])
         lengths = np.array([len(w) for w in item_words])
         padded = np.full((len(item_words), lengths.max()), -2, np.int32)
         for j, w in enumerate(item_words):
@@ -312,10 +347,12 @@ def leaks(documents: DataFrame, items: DataFrame, cosine: float = COSINE, rank:
             at = np.flatnonzero(p.begins & (inside >= least))
             found = []
             if len(at):
-                x = _unit(p.sums_at(at, space)).astype(np.float32)
                 for k in range(0, len(at), 4096):
-                    c = np.maximum.reduceat(x[k : k + 4096] @ queries.T, starts, axis=1)  # passages x items
-                    i, j = np.nonzero(c >= cosine)
+                    latent = p.sums_at(at[k : k + 4096], space)
+                    c = np.maximum.reduceat(_unit(latent).astype(np.float32) @ queries.T, starts, axis=1)  # passages x items
+                    x = with_rest(latent, squares(p.texts(at[k : k + 4096]), weight)).astype(np.float32)
+                    near = np.maximum.reduceat(x @ bounds.T, answer_starts, axis=1) >= 1 - SLACK
+                    i, j = np.nonzero(near | (c >= cosine) if paraphrases else near)
                     found.append((owner[starts[j]], at[k + i], c[i, j]))
             item, half, cos = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
             kept = []
