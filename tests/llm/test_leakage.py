@@ -1,5 +1,6 @@
 import random
 import unicodedata
+from collections import Counter
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -119,3 +120,25 @@ def test_squares():
     t, w = rng.integers(-1, 5, (20, 24)).astype(np.int32), rng.random(5)
     want = [((np.bincount(r[r >= 0], minlength=5) * w) ** 2).sum() for r in t]
     assert np.allclose(lk.squares(t, w), want)
+
+
+def test_paraphrase_away_from_a_quote(spark):
+    docs, items = world(3)
+    w = next(t for _, t in items if len(t.split()) == 60).split()
+    near = [x for k, x in enumerate(w) if k % 9 != 4]
+    far = " ".join(f"other{k}" for k in range(200))
+    text = [f"{' '.join(w[20:31])} {far} {' '.join(near)}", f"{' '.join(near)} {far} {' '.join(w[20:31])}", f"{' '.join(w[20:31])} {far}"]
+    got = lk.leaks(spark.createDataFrame([*((k, t, "") for k, t in enumerate(text)), *((i + 10, t, "") for i, t in docs[:50])], DOC), spark.createDataFrame([(3, "test", " ".join(w))], ITEM), paraphrases=True)
+    assert {r["doc_id"]: r["subsequence"] for r in got.where("doc_id < 3").collect()} == {0: len(near), 1: len(near)}
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(-1, 5), max_size=40), st.lists(st.integers(0, 5), min_size=1, max_size=30))
+def test_shared_bounds_subsequence(doc, item):
+    d, w = np.array(doc, np.int32), np.array(item, np.int32)
+    assert lk.common_subsequence(d, w) <= lk.shared([d], w)[0] == (Counter(doc) & Counter(item)).total()
+
+
+def test_stretches():
+    doc = np.arange(300)
+    assert [(int(s[0]), int(s[-1]) + 1) for s in lk.stretches(doc, [0, 12, 96, 288], 10)] == [(0, 34), (2, 46), (86, 130), (278, 300)]

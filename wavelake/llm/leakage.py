@@ -282,6 +282,24 @@ def common_subsequence(doc: np.ndarray, item: np.ndarray) -> int:
     return len(item) - v.bit_count()
 
 
+def shared(docs: list[np.ndarray], item: np.ndarray) -> list[int]:
+    """How many words of the item each of some texts holds, each as often as it stands in both: bounds on the common subsequences."""
+    w, n = np.unique(item, return_counts=True)
+    out = []
+    for d in docs:
+        k = np.minimum(np.searchsorted(w, d), len(w) - 1)
+        out.append(int(np.minimum(np.bincount(k[w[k] == d], minlength=len(w)), n).sum()))
+    return out
+
+
+def stretches(doc: np.ndarray, starts: list[int], size: int) -> list[np.ndarray]:
+    """The stretch of ``size`` words before and after each passage that begins at one of ``starts``.
+
+    Stretches that touch stay apart, as words of an item that lie scattered over a long text are no paraphrase of it.
+    """
+    return [doc[max(0, a - size) : a + 2 * STRIDE + size] for a in starts]
+
+
 def bulk_checks(passages: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Longest run and longest common subsequence of many passages (n, 24) and items (n, longest), all pairs at once.
 
@@ -310,7 +328,8 @@ def leaks(documents: DataFrame, items: DataFrame, cosine: float = COSINE, rank:
     ``paraphrases``) a paraphrase of all of it.
 
     ``run`` is the longest run of the item's words in the document, ``subsequence`` the longest common subsequence within
-    the stretch of the document around the best passage, ``n_words`` the item's length. Null and empty texts leak nothing.
+    the stretch of the document around any passage found (with an answer, the best one), ``n_words`` the item's length. Null
+    and empty texts leak nothing.
     """
     it = Items.read(items)
     spark = documents.sparkSession
@@ -366,6 +385,7 @@ def leaks(documents: DataFrame, items: DataFrame, cosine: float = COSINE, rank:
             kept = np.concatenate(kept) if kept else np.zeros(0, np.int64)
             kept = kept[np.argsort(lengths[item[kept]], kind="stable")]  # items of like length share a step
             best: dict[tuple[int, int], tuple[float, int, bool]] = {}
+            hits: dict[tuple[int, int], list[int]] = {}
             for k in range(0, len(kept), 5_000):
                 part = kept[k : k + 5_000]
                 run_, sub = bulk_checks(p.texts(half[part]), padded[item[part], : lengths[item[part]].max()])
@@ -375,17 +395,19 @@ def leaks(documents: DataFrame, items: DataFrame, cosine: float = COSINE, rank:
                     old = best.get((d, j))
                     if old is None or (r, c) > (old[2], old[0]):
                         best[d, j] = (c, h, r)
+                    hits.setdefault((d, j), []).append(h)
             first = np.searchsorted(p.doc_of, np.arange(len(p.docs)))
             out = []
             for (d, j), (c, h, answer) in best.items():
                 if not (answer or paraphrases):
                     continue
                 w, doc = item_words[j], p.docs[d]
-                mid = (h - first[d]) * STRIDE
-                near = doc[max(0, mid - len(w)) : mid + 2 * STRIDE + len(w)]
-                if not answer and np.isin(near, w).sum() < PARAPHRASE * len(w):
-                    continue  # too few words of the item for a paraphrase of all of it
-                sub = common_subsequence(near, w)
+                near = stretches(doc, [(x - first[d]) * STRIDE for x in ([h] if answer else hits[d, j])], len(w))
+                sub = 0
+                for x, most in zip(near, [len(w)] if answer else shared(near, w)):
+                    # Stretches with too few words of the item for a paraphrase of all of it, or for a longer one, are not searched.
+                    if most > sub and (answer or most >= PARAPHRASE * len(w)):
+                        sub = max(sub, common_subsequence(x, w))
                 if answer or sub >= PARAPHRASE * len(w):
                     out.append((ids[j], doc_ids[d], c, longest_run(doc, w), sub, len(w)))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in _LEAKS.split(", ")]).astype({"item_id": "int64", "doc_id": "int64", "cosine": float, "run": "int64", "subsequence": "int64", "n_words": "int64"})
