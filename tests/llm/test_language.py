@@ -58,6 +58,18 @@ def test_batches_equal_single_words(models):
     assert np.allclose(got[:-1], want) and np.allclose(got[-1], want[:3].sum(0)) and np.allclose(s.words([["regn"]])[0], want[1])
 
 
+def test_letters_outside_the_vocabulary(models):
+    """A word of them leaves the range of plain probabilities long before 30 letters; its text is judged by the rest."""
+    lattice, logp = models
+    s = lg.Scorer(logp, lattice)
+    every = ["𐎠" * k for k in range(1, 33)] + ["rain" + "𐎠" * 26]
+    want = np.array([lg.forward(lattice.edges(w), logp) for w in every])
+    assert not set("𐎠") & lattice.chars and want.min() < -750
+    assert np.allclose(s.words([[w] for w in every]), want)
+    spans, p = s.texts([f"{TRAIN['fr']} {'𐎠' * 30}"])
+    assert np.isfinite(p).all() and all(lg.LANGUAGES[k] == "fr" for k in p.argmax(1)[:-1])
+
+
 def test_expected_counts(models):
     """Against the counts over all segmentations written out."""
     lattice, logp = models

@@ -47,6 +47,8 @@ SMOOTH = 0.1
 SHARE = 0.2
 #: Words remembered per worker.
 MEMORY = 300_000
+#: Log probability below which a plain sum may have lost precision.
+TINY = -650.0
 
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 _END = re.compile(r"[.!?。！？…]+[\"'”’)\]]*(?=\s|$|[^\x00-\x7f])|\n")
@@ -232,15 +234,18 @@ class Scorer:
         for end in range(1, size + 1):
             for span in range(1, min(end, spans) + 1):
                 alpha[end] += alpha[end - span] * self.p[arcs[:, end - 1, span - 1]]
-        return np.log(alpha[size])
+        with np.errstate(divide="ignore"):
+            return np.log(alpha[size])
 
     def _learn(self, new: list[str]) -> None:
         by_length: dict[int, list[str]] = {}
         for w in new:
             by_length.setdefault(len(w), []).append(w)
         for size, same in by_length.items():
-            # Long words would leave the range of plain probabilities.
-            got = self._together(same) if size <= 30 else np.array([forward(self.lattice.edges(w), self.logp) for w in same])
+            # Long words would leave the range of plain probabilities, as do some short ones: letters outside the vocabulary weigh little.
+            got = self._together(same) if size <= 30 else np.full((len(same), len(LANGUAGES)), -np.inf)
+            for r in np.flatnonzero((got < TINY).any(1)):
+                got[r] = forward(self.lattice.edges(same[r]), self.logp)
             k = len(self.seen)
             while k + len(same) > len(self.table):
                 self.table = np.concatenate([self.table, np.zeros_like(self.table)])
