@@ -63,3 +63,11 @@ def test_nothing(spark):
     t = spark.createDataFrame([("a", 0.5, 1)], TARGET)
     assert mx.mix(spark.createDataFrame([], SIZES), t).count() == 0
     assert mx.mix(spark.createDataFrame([(1, "a", 5)], SIZES), t.limit(0)).count() == 0
+
+
+def test_found_runs_the_mix(spark, data, monkeypatch):
+    real, runs = mx.mix, []
+    monkeypatch.setattr(mx, "mix", lambda *a: runs.append(1) or real(*a))
+    got = {r["source"] for r in mx.p9_found(spark, data).collect()}
+    x = mx.demands(mx._sizes(spark, data), mx.table(spark, data, "source_targets")).where("have * max_repeats < want")
+    assert runs and got == {r["source"] for r in x.collect()}

@@ -60,3 +60,14 @@ def test_nothing(spark):
     assert s.count() == 0 and r.first()["short"] == 1
     s, r = qt.draw(qt.labelled(make(spark, [(1, 1, None)])), t.limit(0))
     assert s.count() == 0 and r.count() == 0
+
+
+def test_found_draws_the_sample(spark, data, monkeypatch):
+    real, runs = qt.draw, []
+    monkeypatch.setattr(qt, "draw", lambda *a: runs.append(1) or real(*a))
+    got = {r["label_idx"] for r in qt.p7_found(spark, data).collect()}
+    x = qt.shortfalls(qt.labelled(qt.table(spark, data, "raw_cache")), qt.table(spark, data, "sample_targets")).where("have < want or have < min_rows")
+    assert runs and got == {r["label_idx"] for r in x.collect()}
+    # A class whose quota the sample does not reach is found too.
+    monkeypatch.setattr(qt, "draw", lambda *a: (real(*a)[0].limit(0), real(*a)[1]))
+    assert got < {r["label_idx"] for r in qt.p7_found(spark, data).collect()}

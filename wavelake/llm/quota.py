@@ -113,9 +113,10 @@ def draw(rows: DataFrame, targets: DataFrame, seed: int = 17) -> tuple[DataFrame
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    """Classes of sample_targets that cannot be served."""
-    s = shortfalls(labelled(table(spark, d, "raw_cache")), table(spark, d, "sample_targets"))
-    return s.where((F.col("have") < F.col("want")) | (F.col("have") < F.col("min_rows"))).select("label_idx")
+    """Classes of sample_targets that cannot be served: short in the report, or with fewer rows in the sample than their quota."""
+    sample, report = draw(cut(labelled(table(spark, d, "raw_cache"))), table(spark, d, "sample_targets"))
+    drawn = sample.groupBy("label_idx").agg(F.count(F.lit(1)).alias("drawn"))
+    return report.join(drawn, "label_idx", "left").where((F.col("short") > 0) | (F.coalesce("drawn", F.lit(0)) < F.col("quota"))).select("label_idx")
 
 
 def p7_sample(spark: SparkSession, d: str) -> DataFrame:
