@@ -1,7 +1,7 @@
 """Segmentation of recordings as they arrive.
 
-Segments of one recording depend on that recording alone, so the stream needs no state; repeated deliveries are dropped within
-the watermark.
+Segments of one recording depend on that recording alone, so the stream needs no state but for repeated deliveries, which are
+dropped within a watermark over the time they are read. How old a recording is makes no difference, so backfills may come in any order.
 """
 
 from __future__ import annotations
@@ -22,9 +22,10 @@ def stream_recordings(spark: SparkSession, folder: str, schema: StructType | str
 def stream_segments(recordings: DataFrame, seg: float, hop: float, tol: float = 0.0, late: str = "30 days") -> DataFrame:
     """Segments of a stream of recordings (audio_path, duration_sec, received_at), each delivery of a path and length once.
 
-    Deliveries that come later than ``late`` after the newest are left out, as the memory of what was seen ends there.
+    What was seen is remembered for ``late`` after it was read; a repetition after that comes again, to be removed when
+    reading. No first delivery is left out.
     """
-    timed = recordings.withColumn("received_at", F.col("received_at").cast("timestamp")).withWatermark("received_at", late)
+    timed = recordings.withColumn("received_at", F.col("received_at").cast("timestamp")).withColumn("_read_at", F.current_timestamp()).withWatermark("_read_at", late)
     once = timed.dropDuplicatesWithinWatermark(["audio_path", "duration_sec"])
     return plan_segments(once, F.lit(0.0), F.lit(float("inf")), F.col("duration_sec"), seg, hop, tol).select("audio_path", "received_at", "segment_id", "seg_start", "seg_end", "valid_sec")
 
