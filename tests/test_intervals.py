@@ -68,3 +68,9 @@ def test_whole_ms(spark):
 
     df = spark.createDataFrame([(1.0004999,), (float("nan"),), (float("inf"),), (None,), (2.0,)], "x double")
     assert [r[0] for r in df.select(whole_ms(F.col("x"))).collect()] == [1000, None, None, None, 2000]
+
+
+def test_times_far_apart(spark):
+    far = 5 * 10**17
+    rows = [(f"k{i % 40}", i, i + 3) for i in range(400)] + [("k1", -far, 3), ("k2", 7, far), ("k3", far - 9, far), ("k3", far, far + 1)]
+    assert merged(spark, rows, 10**16) == brute(rows)

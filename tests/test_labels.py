@@ -61,3 +61,13 @@ def test_frame_grid(spark):
     assert round(g[0]["end"], 6) == 0.2 and g[1]["end"] == 0
     # The last valid frame takes what is left.
     assert df.select(geometry.frame_geometry(3, 0.25, F.lit(3), F.lit(1.0))).first()[0][2]["end"] == 1.0
+
+
+def test_join_of_outlying_intervals(spark):
+    left = [("a", 1, 0.0, 10.0), ("a", 2, 3.0, 5e14), ("a", 3, -8e12, 1.0), ("b", 4, 0.0, math.inf)]
+    right = [("a", 5, 2.0, 4.0), ("a", 6, 4e14, 4e14 + 2), ("a", 7, 0.5, 8e12), ("b", 8, 1.0, 2.0), ("a", 9, -7e12, 6e14)]
+    for x, y in ((left, right), (right, left)):
+        l = spark.createDataFrame(x, "k string, i int, a double, b double")
+        r = spark.createDataFrame(y, "k string, j int, c double, d double")
+        got = sorted((r["i"], r["j"]) for r in interval_join(l, r, ["k"], ("a", "b"), ("c", "d"), 1.0).collect())
+        assert got == sorted((i, j) for k, i, a, b in x for m, j, c, d in y if k == m and b < 1e17 and d < 1e17 and a < d and c < b)

@@ -1,16 +1,18 @@
 import re
 
+import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from wavelake.operators.rejects import load_lines, parse_block, rejects, structural_index, valid_rows
+from wavelake.operators.rejects import laid_out, load_lines, load_texts, parse_block, record_ends, rejects, structural_index, valid_rows
 
-CLASSES = frozenset({"Dog", "Cat_meow"})
-MIDS = frozenset({"/m/1"})
+CLASSES = pa.array(["Cat_meow", "Dog"])
+MIDS = pa.array(["/m/1"])
 
 
 def reasons(line, name="dev.csv"):
-    return parse_block([line], name, CLASSES if name == "dev.csv" else MIDS)[0][0]
+    return parse_block(*laid_out(pa.array([line], pa.string())), name, CLASSES if name == "dev.csv" else MIDS)["reasons"].to_pylist()[0]
 
 
 def test_lines_of_the_first_layout():
@@ -48,7 +50,8 @@ FIELD = r'(?:"(?:[^"]|"")*"|[^",]*)'
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(alphabet='a,"é\t', max_size=12), min_size=1, max_size=5))
 def test_structure_equals_a_grammar(lines):
-    _, begins, ends, cuts, bad = structural_index(lines, ",")
+    buf, ends = laid_out(pa.array(lines))
+    begins, cuts, bad = structural_index(buf, ends, ",")
     for i, line in enumerate(lines):
         well = re.fullmatch(f"{FIELD}(?:,{FIELD})*", line) is not None
         assert bad[i] == (not well)
@@ -67,3 +70,20 @@ def test_tables(spark):
     assert v[1]["labels"] == ["Dog", "Cat_meow"] and v[1]["start_time_seconds"] is None
     assert v[3]["end_time_seconds"] == 1.0 and v[3]["fname"] is None
     assert load_lines(lines.limit(0), labels).count() == 0
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.text(alphabet='a,"\n', max_size=6), min_size=1, max_size=3), min_size=1, max_size=5))
+def test_record_ends_are_found(records):
+    written = [",".join('"' + v.replace('"', '""') + '"' for v in r) for r in records]
+    raw = ("\n".join(written) + "\n").encode()
+    ends = record_ends(np.frombuffer(raw, np.uint8))
+    begins = [0, *(ends[:-1] + 1)]
+    assert [raw[a:b].decode() for a, b in zip(begins, ends)] == written
+
+
+def test_texts_with_records_over_lines(spark):
+    labels = spark.createDataFrame([("Dog\nbig", "/m/1")], "class_name string, mid string")
+    texts = spark.createDataFrame([("dev.csv", b'1,"Dog\nbig",val\r\n2,Dog,val\n3,"Dog'), ("dev.csv", None), (None, b"a")], "file_name string, content binary")
+    got = sorted((r["file_name"] or "", r["record_no"], r["reasons"], r["labels"], r["record"]) for r in load_texts(texts, labels).collect())
+    assert got == [("", 0, ["file_name"], None, "a"), ("dev.csv", 0, [], ["Dog\nbig"], None), ("dev.csv", 1, ["labels_value"], None, "2,Dog,val"), ("dev.csv", 2, ["quoting"], None, '3,"Dog')]

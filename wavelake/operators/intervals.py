@@ -42,26 +42,20 @@ def merge_sorted(group: np.ndarray, s: np.ndarray, e: np.ndarray, many: np.ndarr
 
     ``many`` tells whether an island holds two or more different intervals.
     """
-    base = int(s.min()) if len(s) else 0
-    span = int(e.max()) - base + 2 if len(e) else 1
-    head = np.zeros(len(s), bool)
-    if len(s):
-        head[0] = True
-        head[1:] = group[1:] != group[:-1]
-    if span * (int(group[-1]) + 1 if len(group) else 1) < 1 << 62:
-        # One running maximum over all groups: each group lies above the one before.
-        reach = np.maximum.accumulate(e - base + group * span)
-        new = head.copy()
-        new[1:] |= s[1:] - base + group[1:] * span > reach[:-1]
-    else:
-        new = head.copy()
-        top = 0
-        for i in range(len(s)):
-            new[i] |= s[i] > top
-            top = int(e[i]) if head[i] else max(top, int(e[i]))
+    if not len(s):
+        return np.zeros(0, np.int64), s, e, many
+    head = np.r_[True, group[1:] != group[:-1]]
+    base, span = int(s.min()), int(e.max()) - int(s.min()) + 2
+    lo, hi = s, e
+    if span * (int(group[-1]) + 1) >= 1 << 62:
+        # Times so far apart that groups cannot be laid one above the other: their ranks keep the order and are small.
+        times, ranks = np.unique(np.concatenate([s, e]), return_inverse=True)
+        lo, hi, base, span = ranks[: len(s)], ranks[len(s) :], 0, len(times) + 1
+    # One running maximum over all groups: each group lies above the one before.
+    reach = np.maximum.accumulate(hi - base + group * span)
+    new = head.copy()
+    new[1:] |= lo[1:] - base + group[1:] * span > reach[:-1]
     at = np.flatnonzero(new)
-    if not len(at):
-        return at, s, e, many
     lo, hi = s[at], np.maximum.reduceat(e, at)
     differ = (np.maximum.reduceat(s, at) > lo) | (np.minimum.reduceat(e, at) < hi)
     return at, lo, hi, differ | np.logical_or.reduceat(many, at)

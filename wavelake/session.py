@@ -32,16 +32,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir. Where it is unset, a local session takes a temporary one; elsewhere that is an error."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     current = sc._jsc.sc().getCheckpointDir()
     if not current.isDefined():
+        if not named and not is_local(sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="wavelake-"))
         current = sc._jsc.sc().getCheckpointDir()
     return named or current.get()
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and tasks are one process on one machine."""
+    return master == "local" or master.startswith("local[")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
@@ -51,7 +58,3 @@ def cut(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
