@@ -39,22 +39,36 @@ def test_exact_with_factor_one(spark, monkeypatch):
     x = clustered(900)
     ids = np.arange(900) * 3 + 1
     wanted = [int(i) for i in ids[::20]]
-    assert run(spark, zip(ids.tolist(), x), wanted, k=8, factor=1.0) == brute(ids, x, wanted, 8)
-    # Several blocks of queries give the same.
-    assert run(spark, zip(ids.tolist(), x), wanted, k=8, block=20) == brute(ids, x, wanted, 8)
+    # One shard, several shards of several cells each, and cells spread over several shards.
+    for sizes in ({}, {"per_cell": 40, "shard": 200}, {"per_cell": 300, "shard": 90}):
+        assert run(spark, zip(ids.tolist(), x), wanted, k=8, factor=1.0, **sizes) == brute(ids, x, wanted, 8)
 
 
-@pytest.mark.parametrize("factor,least", [(1.0, 1.0), (1.3, 0.9)])
-def test_recall_of_one_tree(factor, least):
+def test_equal_vectors_go_by_their_ids(spark, monkeypatch):
+    monkeypatch.setattr(nb, "LEAF", 16)
+    x = clustered(200, 2)
+    same = np.random.default_rng(5).choice(200, 60, replace=False)
+    x[same] = x[same[0]]
+    ids = np.arange(200) * 7 % 1009
+    wanted = [int(i) for i in ids[same[:5]]] + [int(i) for i in ids[:20]]
+    for sizes in ({}, {"per_cell": 20, "shard": 25}):
+        assert run(spark, zip(ids.tolist(), x), wanted, k=8, factor=1.0, **sizes) == brute(ids, x, wanted, 8)
+
+
+@pytest.mark.parametrize("factor,least", [(1.0, 1.0), (nb.FACTOR, 0.95)])
+def test_recall_and_work(spark, factor, least):
     x = clustered(3000, 4)
-    u = nb._unit(x)
     ids = np.arange(3000)
-    tree = nb.Tree(ids, u, leaf=64)
-    q = np.arange(0, 3000, 20)
-    _, rows = tree.search(u[q], q, 8, np.full(len(q), np.inf, np.float32), factor)
-    want = brute(ids, x, q, 8)
-    hit = np.mean([len(set(tree.ids[r]) & set(want[int(i)])) / 8 for i, r in zip(q, rows)])
-    assert hit >= least
+    wanted = [int(i) for i in ids[::20]]
+    df = spark.createDataFrame([(int(i), [float(y) for y in e], bool(i % 20 == 0)) for i, e in zip(ids, x)], "vec_id bigint, e array<float>, wanted boolean")
+    found = nb.hits(df, 8, factor, per_cell=60, shard=500).cache()
+    got = {}
+    for r in nb.ranked(found, 8).orderBy("qid", "rank").collect():
+        got.setdefault(r["qid"], []).append(r["vec_id"])
+    want = brute(ids, x, wanted, 8)
+    assert np.mean([len(set(got[q]) & set(want[q])) / 8 for q in wanted]) >= least
+    compared = found.where("qid is null").agg({"compared": "sum"}).first()[0]
+    assert compared < len(wanted) * 3000 * 0.9
 
 
 def test_unusable_vectors_and_copies(spark):
