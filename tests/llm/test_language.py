@@ -26,7 +26,7 @@ TRAIN = {
 @pytest.fixture(scope="module")
 def models():
     lattice = lg.Lattice()
-    return lattice, lg.fit({k: Counter(lg.words(t)) for k, t in TRAIN.items()}, lattice)
+    return lattice, lg.fit({k: Counter(w for _, _, s in lg.sentences(t) for w in s) for k, t in TRAIN.items()}, lattice)
 
 
 def test_forward_sums_all_segmentations(models):
@@ -66,7 +66,7 @@ def test_letters_outside_the_vocabulary(models):
     want = np.array([lg.forward(lattice.edges(w), logp) for w in every])
     assert not set("𐎠") & lattice.chars and want.min() < -750
     assert np.allclose(s.words([[w] for w in every]), want)
-    spans, p = s.texts([f"{TRAIN['fr']} {'𐎠' * 30}"])
+    p = s.texts([f"{TRAIN['fr']} {'𐎠' * 30}"])[3]
     assert np.isfinite(p).all() and all(lg.LANGUAGES[k] == "fr" for k in p.argmax(1)[:-1])
 
 
@@ -136,9 +136,9 @@ def test_held_out_accuracy(spark):
     fit_on = d.where("doc_id % 3 = 0").select(lg.label_language(F.col("lang")).alias("code"), "text").toPandas()
     scorer = lg.Scorer(lg.train(fit_on), lg.Lattice())
     test = d.where("doc_id % 3 = 1").select(lg.label_language(F.col("lang")).alias("code"), "text").toPandas()
-    spans, p = scorer.texts(test["text"].tolist())
-    n = np.cumsum([0, *map(len, spans)])
-    right = [lg.LANGUAGES[int(p[a:b].sum(0).argmax())] == code for code, a, b in zip(test["code"], n, n[1:]) if b > a]
+    of, _, _, p = scorer.texts(test["text"].tolist())
+    n = np.searchsorted(of, np.arange(len(test) + 1))
+    right = [lg.NAMES[int(p[a:b].sum(0).argmax())] == code for code, a, b in zip(test["code"], n, n[1:]) if b > a]
     # About one label in fourteen is wrong by design of the table.
     assert np.mean(right) > 0.88
 
@@ -147,3 +147,33 @@ def test_labels(spark):
     given = {"en": "en", "EN": "en", "en_US": "en", "zh-Hans": "zh", "Dutch": "nl", " fra ": "fr", "und": None, "-": None, "": None, "unknown": None, "n/a": None, "entropy": None}
     df = spark.createDataFrame([(k,) for k in given], "lang string")
     assert {r[0]: r[1] for r in df.select("lang", lg.label_language(F.col("lang"))).collect()} == given
+
+
+# Sentences of languages that the models do not know.
+STRANGE = {
+    "Polish": "Dzień dobry, nazywam się Jan i mieszkam w Warszawie od wielu lat. Wczoraj poszedłem do sklepu po świeży chleb.",
+    "Thai": "สวัสดีครับ ผมชื่อสมชาย และผมอาศัยอยู่ในกรุงเทพ เมื่อวานฉันไปตลาด",
+    "Greek": "Καλημέρα, με λένε Γιώργο και μένω στην Αθήνα. Χθες πήγα στην αγορά.",
+    "Hebrew": "שלום, שמי דוד ואני גר בירושלים. אתמול הלכתי לשוק.",
+    "Swedish": "Hej, jag heter Anna och bor i Stockholm sedan många år. Igår gick jag till affären för att köpa bröd.",
+}
+
+
+def test_other_languages(spark):
+    path = "/root/testdata/sf0.01/documents.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no test tables here")
+    d = spark.read.parquet(path).where(lg.label_language(F.col("lang")).isNotNull() & F.col("text").isNotNull())
+    scorer = lg.Scorer(lg.train(d.select(lg.label_language(F.col("lang")).alias("code"), "text").toPandas()), lg.Lattice())
+    of, _, _, p = scorer.texts([*STRANGE.values(), *TRAIN.values()])
+    got = [[lg.NAMES[k] for k in p[of == i].argmax(1)] for i in range(len(STRANGE) + len(TRAIN))]
+    assert all(set(x) == {lg.OTHER} for x in got[: len(STRANGE)])
+    assert [max(x, key=x.count) for x in got[len(STRANGE) :]] == list(TRAIN)
+
+
+def test_ends_of_sentences():
+    text = "声音。Ik heb \"dat.\" Een\x00 twee! a.b c=d.e\nLaatste"
+    got = [(text[a:b], w) for a, b, w in lg.sentences(text)]
+    assert got == [("声音。", ["声音"]), ('Ik heb "dat."', ["ik", "heb", "dat"]), (" Een\x00 twee!", ["een", "twee"]), (" a.b c=d.e\n", ["a", "b"]), ("Laatste", ["laatste"])]
+    units, text_of, begin, end = lg.split(["", "é. x", "…"])
+    assert text_of.tolist() == [0, 1, 1, 2, 2] and begin.tolist() == [0, 0, 2, 0, 1] and end.tolist() == [0, 2, 4, 1, 1]

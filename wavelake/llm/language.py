@@ -8,6 +8,10 @@ each distinct word is summed once, for all languages at once.
 The models are fitted by expectation-maximisation (forward and backward sums) on a bounded sample of labelled texts,
 SAMPLE per language, and refitted once on the sentences that the first models place in the language of their label. All
 documents are then scored whole, each by itself; nothing but the models (a table of the vocabulary's size) is sent around.
+
+The set of languages is open: one more model, OTHER, mixes the mean of all languages with an even one over the vocabulary. A text of another
+language or script is cut into pieces that are common everywhere or nowhere, which that model explains best; so it comes out as
+OTHER rather than as the nearest of the known ones.
 """
 
 from __future__ import annotations
@@ -45,16 +49,23 @@ ROUNDS = 2
 SMOOTH = 0.1
 #: Share of a text's sentences from which a language is in the text.
 SHARE = 0.2
-#: Words remembered per worker.
+#: What a sentence of none of the languages is called, the even part of its model, and its prior against each of the languages.
+OTHER = "other"
+EVEN = 0.6
+RARE = 0.2
+NAMES = (*LANGUAGES, OTHER)
+#: Words remembered per worker, and characters that are split together.
 MEMORY = 300_000
-#: Log probability below which a plain sum may have lost precision.
-TINY = -650.0
+CHARS = 4_000_000
 
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
-_END = re.compile(r"[.!?。！？…]+[\"'”’)\]]*(?=\s|$|[^\x00-\x7f])|\n")
+#: Words, ends of sentences (1) and of texts (0).
+_UNIT = re.compile(rf"{_WORD.pattern}|[\x00\x01]")
+_END = re.compile(r"[.!?。！？…]+[\"'”’)\]]*(?=[\s\x00]|[^\x00-\x7f])|[。！？]+[\"'”’)\]]*|\n")
 #: What marks a token that no language is read from: settings, file names, numbers with units, addresses.
 _MARK = re.compile(r"[=_\\@]|://|www\.|[A-Za-z][0-9]|[0-9][A-Za-z]|\.[a-z0-9]{2,4}\b(?=\W|$)")
 _TOKEN = re.compile(r"[!-~]+")
+_CONTROL = {0: " ", 1: " "}
 
 
 def label_language(label: Column) -> Column:
@@ -71,23 +82,37 @@ def _blank(m: re.Match) -> str:
     return " " * (m.end() - m.start()) if _MARK.search(m[0]) else m[0]
 
 
-def sentences(text: str) -> list[tuple[int, int, list[str]]]:
-    """Begin, end and words of the sentences that have words; they end at a full stop, its kin, or a line end.
+def _plain(text: str) -> str:
+    """The text without technical tokens (their dots end nothing) and without the characters that mark ends here."""
+    if "\x00" in text or "\x01" in text:
+        text = text.translate(_CONTROL)
+    return _TOKEN.sub(_blank, text) if _MARK.search(text) else text
+
+
+def split(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """``(units, text, begin, end)`` of all sentences of some texts, one after another.
 
-    Words are runs of letters in one case and Unicode form; technical tokens hold none, and their dots end nothing.
+    Sentences end at a full stop, its kin, or a line end. ``units`` are their words (runs of letters in one case and Unicode form), each
+    sentence followed by a mark; ``begin`` and ``end`` are its characters in the text.
     """
-    if _MARK.search(text):
-        text = _TOKEN.sub(_blank, text)
-    out, a = [], 0
-    for b in [*(m.end() for m in _END.finditer(text)), len(text)]:
-        if b > a and (w := words(text[a:b])):
-            out.append((a, b, w))
-        a = b
-    return out
+    sizes = np.array([len(t) for t in texts], np.int64)
+    big = "\x00".join(map(_plain, texts)) + "\x00"
+    big = _END.sub("\\g<0>\x01", big)
+    code = np.frombuffer(big.encode("utf-32-le", "surrogatepass"), np.uint32)
+    mark = np.flatnonzero(code <= 1)
+    last = code[mark] == 0
+    text = np.cumsum(last) - last
+    end = mark - (np.cumsum(~last) - ~last) - (np.cumsum(sizes + 1) - sizes - 1)[text]
+    begin = np.where(np.r_[True, last[:-1]], 0, np.r_[0, end[:-1]])
+    units = _UNIT.findall(big.lower() if big.isascii() else unicodedata.normalize("NFKC", big).casefold())
+    return units, text, begin, end
 
 
-def words(text: str) -> list[str]:
-    return _WORD.findall(text.lower() if text.isascii() else unicodedata.normalize("NFKC", text).casefold())
+def sentences(text: str) -> list[tuple[int, int, list[str]]]:
+    """Begin, end and words of the sentences of a text that have words."""
+    units, _, begin, end = split([text])
+    at = np.flatnonzero([u < "\x02" for u in units])
+    return [(int(a), int(b), units[i:j]) for a, b, i, j in zip(begin, end, np.r_[0, at[:-1] + 1], at) if j > i]
 
 
 class Lattice:
@@ -191,6 +216,11 @@ def fit(samples: dict[str, Counter], lattice: Lattice, rounds: int = ROUNDS) ->
     return out
 
 
+def with_other(logp: np.ndarray) -> np.ndarray:
+    """The languages' models and, as the last column, that of any other language."""
+    return np.column_stack([logp, np.log(EVEN / len(logp) + (1 - EVEN) * np.exp(logp).mean(1))])
+
+
 class Scorer:
     """Scores texts in batches; the words' probabilities lie in one table that grows as new words are met."""
 
@@ -203,22 +233,27 @@ class Scorer:
         self._forget()
 
     def _forget(self) -> None:
-        self.seen: dict[str, int] = {}
-        self.table = np.zeros((1024, len(LANGUAGES)))
-
-    def _char(self, c: str) -> int:
-        k = self.chars.get(c)
-        if k is None:
-            k = self.chars[c] = len(self.p)
-            self.p = np.concatenate([self.p, np.exp(self.logp[self.lattice.bytes[list(c.encode("utf-8", "replace"))]].sum(0, keepdims=True))])
-        return k
+        # The marks of ends are words that weigh nothing.
+        self.seen: dict[str, int] = {"\x00": 0, "\x01": 1}
+        self.table = np.zeros((1024, self.p.shape[1]))
+
+    def _characters(self, words: list[str]) -> None:
+        """Rows for characters outside the vocabulary, by their bytes."""
+        new = sorted(set().union(*words) - self.lattice.chars - self.chars.keys())
+        if new:
+            rows = [np.exp(self.logp[self.lattice.bytes[list(c.encode("utf-8", "replace"))]].sum(0)) for c in new]
+            self.chars.update((c, len(self.p) + k) for k, c in enumerate(new))
+            self.p = np.concatenate([self.p, np.array(rows)])
 
     def _together(self, same: list[str]) -> np.ndarray:
-        """The forward sums of words of one length, position by position for all of them at once."""
+        """The forward sums of words of one length, position by position for all of them at once, as logarithms.
+
+        Sums are plain; where one gets small, it and those before it that are still needed are scaled up together.
+        """
         n, size = len(same), len(same[0]) + 1
         spans = min(size, self.lattice.longest)
         arcs = np.full((n, size, spans), self.none, np.int64)
-        get, known = self.lattice.ids.get, self.lattice.chars
+        get, chars = self.lattice.ids.get, self.chars
         for r, w in enumerate(same):
             t = "▁" + w
             row = arcs[r]
@@ -227,70 +262,89 @@ class Scorer:
                     k = get(t[start:end])
                     if k is not None:
                         row[end - 1, end - start - 1] = k
-                if t[end - 1] not in known:
-                    row[end - 1, 0] = self._char(t[end - 1])
+                k = chars.get(t[end - 1])
+                if k is not None:
+                    row[end - 1, 0] = k
         alpha = np.zeros((size + 1, n, self.p.shape[1]))
         alpha[0] = 1.0
+        scaled = np.zeros(alpha.shape[1:])
         for end in range(1, size + 1):
             for span in range(1, min(end, spans) + 1):
                 alpha[end] += alpha[end - span] * self.p[arcs[:, end - 1, span - 1]]
-        with np.errstate(divide="ignore"):
-            return np.log(alpha[size])
+            small = alpha[end] < 1e-60
+            if small.any():
+                window = alpha[max(0, end - spans) : end + 1]
+                # What would leave the range lies before a character outside the vocabulary, which no longer piece spans.
+                window[:, small] = np.minimum(window[:, small] * 1e60, 1e300)
+                scaled += small
+        return np.log(alpha[size]) - scaled * np.log(1e60)
 
     def _learn(self, new: list[str]) -> None:
+        self._characters(new)
         by_length: dict[int, list[str]] = {}
         for w in new:
             by_length.setdefault(len(w), []).append(w)
-        for size, same in by_length.items():
-            # Long words would leave the range of plain probabilities, as do some short ones: letters outside the vocabulary weigh little.
-            got = self._together(same) if size <= 30 else np.full((len(same), len(LANGUAGES)), -np.inf)
-            for r in np.flatnonzero((got < TINY).any(1)):
-                got[r] = forward(self.lattice.edges(same[r]), self.logp)
-            k = len(self.seen)
-            while k + len(same) > len(self.table):
-                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            self.table[k : k + len(same)] = got
-            for w in same:
-                self.seen[w] = len(self.seen)
-
-    def _rows(self, flat: list[str]) -> np.ndarray:
-        rows = list(map(self.seen.get, flat))
+        for size, every in by_length.items():
+            step = max(1, 2_000_000 // ((size + 1) * self.lattice.longest))  # words whose lattices fit side by side
+            for a in range(0, len(every), step):
+                same = every[a : a + step]
+                k = len(self.seen)
+                while k + len(same) > len(self.table):
+                    self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+                self.table[k : k + len(same)] = self._together(same)
+                for w in same:
+                    self.seen[w] = len(self.seen)
+
+    def rows(self, units: list[str]) -> np.ndarray:
+        """The rows of the table that hold the units."""
+        if len(self.seen) > MEMORY:
+            self._forget()
+        rows = list(map(self.seen.get, units))
         if None in rows:
-            self._learn([w for w in dict.fromkeys(flat) if w not in self.seen])
-            rows = list(map(self.seen.get, flat))
+            self._learn([w for w in dict.fromkeys(units) if w not in self.seen])
+            rows = list(map(self.seen.get, units))
         return np.array(rows, np.int64)
 
     def words(self, sentences_: list[list[str]]) -> np.ndarray:
         """Log probabilities of sentences (each with a word or more), per language."""
-        if len(self.seen) > MEMORY:
-            self._forget()
-        rows = self._rows([w for s in sentences_ for w in s])
         n = np.array([len(s) for s in sentences_])
-        return np.add.reduceat(self.table[rows], np.cumsum(n) - n, axis=0) if len(n) else np.zeros((0, len(LANGUAGES)))
+        rows = self.rows([w for s in sentences_ for w in s])
+        return np.add.reduceat(self.table[rows], np.cumsum(n) - n, axis=0) if len(n) else np.zeros((0, self.p.shape[1]))
 
-    def texts(self, texts: list[str]) -> tuple[list[list[tuple[int, int]]], np.ndarray]:
-        """Spans of each text's sentences, and the probabilities of all sentences per language, text after text.
+    def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``(text, begin, end, probabilities)`` of the sentences with words, text after text.
 
         The sentences of a text share a prior over languages, fitted to the text, so that a sentence that says little by
         itself goes with the rest.
         """
-        cut = [sentences(t) for t in texts]
-        s = self.words([w for c in cut for _, _, w in c])
-        spans = [[(a, b) for a, b, _ in c] for c in cut]
-        if not len(s):
-            return spans, s
-        n = np.array([len(c) for c in cut])
-        full = np.flatnonzero(n)
-        at = (np.cumsum(n) - n)[full]
-        of = np.repeat(np.arange(len(full)), n[full])
+        size = np.cumsum([len(t) for t in texts])
+        parts = []
+        for k in np.unique(size // CHARS) if len(texts) else ():
+            mine = np.flatnonzero(size // CHARS == k)
+            units, text, begin, end = split([texts[i] for i in mine])
+            rows = self.rows(units)
+            at = np.flatnonzero(rows < 2)
+            full = np.diff(np.r_[-1, at]) > 1
+            # A sentence's mark weighs nothing, so its sum may include it.
+            s = np.add.reduceat(self.table[rows], np.r_[0, at[:-1] + 1], axis=0)[full]
+            parts.append((mine[text[full]], begin[full], end[full], s))
+        if not parts:
+            return (np.zeros(0, np.int64),) * 3 + (np.zeros((0, self.p.shape[1])),)
+        of, begin, end, s = (np.concatenate(x) for x in zip(*parts))
+        if not len(of):
+            return of, begin, end, s
+        s[:, len(LANGUAGES) :] += np.log(RARE)
         s = s - s.max(1, keepdims=True)
-        prior = np.full((len(full), len(LANGUAGES)), 1 / len(LANGUAGES))
+        at = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+        n = np.diff(np.r_[at, len(of)])
+        place = np.repeat(np.arange(len(at)), n)
+        prior = np.full((len(at), s.shape[1]), 1 / s.shape[1])
         for _ in range(8):
-            x = s + np.log(prior)[of]
+            x = s + np.log(prior)[place]
             x = np.exp(x - x.max(1, keepdims=True))
             x /= x.sum(1, keepdims=True)
-            prior = (np.add.reduceat(x, at, axis=0) + 0.01) / (n[full, None] + 0.01 * len(LANGUAGES))
-        return spans, x
+            prior = (np.add.reduceat(x, at, axis=0) + 0.01) / (n[:, None] + 0.01 * s.shape[1])
+        return of, begin, end, x
 
 
 def labelled_sample(documents: DataFrame, per_language: int = SAMPLE) -> pd.DataFrame:
@@ -308,18 +362,18 @@ def labelled_sample(documents: DataFrame, per_language: int = SAMPLE) -> pd.Data
 
 
 def train(sample: pd.DataFrame, lattice: Lattice | None = None) -> np.ndarray:
-    """Models from labelled texts: fitted, then refitted on the sentences that agree with their label."""
+    """Models from labelled texts: fitted, refitted on the sentences that agree with their label, and the model of other languages."""
     lattice = lattice or Lattice()
-    split = [(c, w) for c, t in zip(sample["code"], sample["text"]) for _, _, w in sentences(t)]
+    labelled = [(c, w) for c, t in zip(sample["code"], sample["text"]) for _, _, w in sentences(t)]
     counts: dict[str, Counter] = {c: Counter() for c in LANGUAGES}
-    for c, w in split:
+    for c, w in labelled:
         counts[c].update(w)
-    first = Scorer(fit(counts, lattice, 1), lattice).words([w for _, w in split])
+    first = Scorer(fit(counts, lattice, 1), lattice).words([w for _, w in labelled])
     counts = {c: Counter() for c in LANGUAGES}
-    for (c, w), k in zip(split, first.argmax(1).tolist() if len(split) else []):
+    for (c, w), k in zip(labelled, first.argmax(1).tolist() if len(labelled) else []):
         if LANGUAGES[k] == c:
             counts[c].update(w)
-    return fit(counts, lattice)
+    return with_other(fit(counts, lattice))
 
 
 _scorers: dict[str, Scorer] = {}
@@ -337,32 +391,42 @@ _SEGMENTS = "doc_id bigint, label string, segment bigint, from_char bigint, to_c
 
 
 def segments(documents: DataFrame, logp: np.ndarray | None = None) -> DataFrame:
-    """Consecutive sentences of one language, in order, with the mean probability of that language.
+    """Consecutive sentences of one language (or OTHER), in order, with the mean probability of that language.
 
     A text without letters has one segment without language and confidence 0; null and blank texts have none.
     """
     tag = uuid.uuid4().hex
     sent = documents.sparkSession.sparkContext.broadcast(train(labelled_sample(documents)) if logp is None else logp)
+    names = np.array([*NAMES, None], object)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = _scorer(tag, sent)
         for pdf in batches:
-            rows = []
-            every, p = scorer.texts(pdf["text"].tolist())
-            best, top = (p.argmax(1).tolist(), p.max(1)) if len(p) else ([], p)
-            k = 0
-            for doc, label, text, spans in zip(pdf["doc_id"], pdf["label"], pdf["text"], every):
-                if not spans:
-                    rows.append((doc, label, 0, 0, len(text), 0, None, 0.0))
-                    continue
-                mine = best[k : k + len(spans)]
-                i = n = 0
-                for j in range(1, len(spans) + 1):
-                    if j == len(spans) or mine[j] != mine[i]:
-                        rows.append((doc, label, n, spans[i][0], spans[j - 1][1], j - i, LANGUAGES[mine[i]], float(top[k + i : k + j].mean())))
-                        i, n = j, n + 1
-                k += len(spans)
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _SEGMENTS.split(", ")])
+            texts = pdf["text"].tolist()
+            of, begin, end, p = scorer.texts(texts)
+            best, top = (p.argmax(1), p.max(1)) if len(p) else (of, np.zeros(0))
+            first = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (best[1:] != best[:-1])]) if len(of) else of
+            size = np.diff(np.r_[first, len(of)])
+            doc = of[first]
+            head = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else doc
+            number = np.arange(len(doc)) - np.repeat(head, np.diff(np.r_[head, len(doc)]))
+            mean = np.add.reduceat(top, first) / size if len(first) else np.zeros(0)
+            # Texts without a sentence that has words.
+            bare = np.setdiff1d(np.arange(len(texts)), doc)
+            zero = np.zeros(len(bare), np.int64)
+            row = np.r_[doc, bare]
+            yield pd.DataFrame(
+                {
+                    "doc_id": pdf["doc_id"].to_numpy()[row],
+                    "label": pdf["label"].to_numpy()[row],
+                    "segment": np.r_[number, zero],
+                    "from_char": np.r_[begin[first], zero],
+                    "to_char": np.r_[end[first + size - 1], np.array([len(texts[i]) for i in bare], np.int64)],
+                    "n_sentences": np.r_[size, zero],
+                    "language": names[np.r_[best[first], np.full(len(bare), -1)]],
+                    "confidence": np.r_[mean, np.zeros(len(bare))],
+                }
+            )
 
     full = documents.where(F.col("text").isNotNull() & F.col("text").rlike(r"(?U)\S"))
     return full.select("doc_id", F.col("lang").alias("label"), "text").mapInPandas(run, _SEGMENTS)
@@ -371,17 +435,17 @@ def segments(documents: DataFrame, logp: np.ndarray | None = None) -> DataFrame:
 def languages(segs: DataFrame, share: float = SHARE) -> DataFrame:
     """``doc_id, label, language, share, confidence, n_languages``: the languages that make up at least ``share`` of a text's sentences."""
     per = segs.where(F.col("language").isNotNull()).groupBy("doc_id", "language").agg(F.first("label").alias("label"), F.sum("n_sentences").alias("n"), (F.sum(F.col("n_sentences") * F.col("confidence")) / F.sum("n_sentences")).alias("confidence"))
-    # At most eight languages per text.
+    # At most nine languages per text.
     texts = per.groupBy("doc_id").agg(F.first("label").alias("label"), F.sum("n").alias("total"), F.collect_list(F.struct("language", "n", "confidence")).alias("l"))
     kept = texts.withColumn("l", F.filter("l", lambda x: x["n"] >= F.lit(share - 1e-9) * F.col("total"))).withColumn("n_languages", F.size("l"))
     return kept.select("doc_id", "label", "total", "n_languages", F.explode("l").alias("x")).select("doc_id", "label", F.col("x.language").alias("language"), (F.col("x.n") / F.col("total")).alias("share"), "x.confidence", "n_languages")
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
-    """Languages of the texts with two or more, and of those whose label does not name their only language."""
+    """Known languages of the texts with two or more, and of those whose label does not name their only language."""
     x = languages(segments(table(spark, d, "documents")))
     wrong = ~F.coalesce(label_language(F.col("label")) == F.col("language"), F.lit(False))
-    return x.where((F.col("n_languages") >= 2) | wrong).select("doc_id", F.col("language").alias("found_lang"))
+    return x.where(((F.col("n_languages") >= 2) | wrong) & (F.col("language") != OTHER)).select("doc_id", F.col("language").alias("found_lang"))
 
 
 def p10_languages(spark: SparkSession, d: str) -> DataFrame:
