@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wavelake.functions.paths import clean_path_udf, recording_key
+from wavelake.functions.paths import below_root, normal, recording_key
 from wavelake.session import cut, table
 
 #: Bins that every partial balance fills, and components of one partial balance.
@@ -38,7 +38,7 @@ def sound_number(text: Column) -> Column:
 def units(entries: DataFrame) -> DataFrame:
     """``entry_id, split, rec, unit, sound`` of every entry with a path; repeated rows of an entry are one."""
     last = entries.groupBy("entry_id").agg(F.max(F.struct("received_at", "dataset", "split", "audio_path")).alias("x")).select("entry_id", "x.dataset", "x.split", "x.audio_path")
-    p = last.withColumn("path", clean_path_udf("audio_path", "dataset")).where(F.col("path").isNotNull())
+    p = last.withColumn("path", below_root(normal(F.col("audio_path")), F.col("dataset"))).where(F.col("path").isNotNull())
     ds, name, folder = F.coalesce("dataset", F.lit("")), F.substring_index("path", "/", -1), F.element_at(F.split("path", "/"), -2)
     rec = recording_key(F.col("dataset"), F.col("path"))
     stem = F.regexp_replace(name, r"\.[A-Za-z0-9]+$", "")

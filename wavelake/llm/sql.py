@@ -15,18 +15,30 @@ ent AS (SELECT entry_id, dataset, split, start, "end", coalesce(dataset, '') ||
     lower(string_split({_CLEAN.format("audio_path")}, '/')[-2]) AS folder
   FROM (SELECT *, row_number() OVER (PARTITION BY entry_id ORDER BY received_at DESC) AS rn FROM split_entries) WHERE rn = 1 AND audio_path IS NOT NULL)"""
 
-SQL = {
-    "p1_found": f"""
+_OVERLAPS = f"""
 WITH {_ENTRIES},
 dur AS (SELECT coalesce(dataset, '') || '|' || {_CLEAN.format("audio_path")} AS rec, duration_sec AS d FROM (
     SELECT *, row_number() OVER (PARTITION BY audio_path ORDER BY received_at DESC, duration_sec DESC NULLS LAST) AS rn FROM recordings) WHERE rn = 1),
-iv AS (SELECT entry_id, split, ent.rec, start AS s, CASE WHEN d > 0 THEN least("end", d) ELSE "end" END AS e FROM ent LEFT JOIN dur ON ent.rec = dur.rec
+iv AS (SELECT entry_id, dataset, split, ent.rec, start AS s, CASE WHEN d > 0 THEN least("end", d) ELSE "end" END AS e FROM ent LEFT JOIN dur ON ent.rec = dur.rec
   WHERE start IS NOT NULL AND NOT isnan(start) AND "end" IS NOT NULL AND NOT isnan("end")),
-ok AS (SELECT * FROM iv WHERE e > s)
-SELECT DISTINCT least(t.entry_id, v.entry_id) AS entry_a, greatest(t.entry_id, v.entry_id) AS entry_b
-FROM ok t JOIN ok v ON t.rec = v.rec AND t.split = 'train' AND v.split IN ('validation', 'test')
-WHERE least(t.e, v.e) - greatest(t.s, v.s) >= 0.8::DOUBLE * (v.e - v.s) - 1e-9
-""",
+ok AS (SELECT * FROM iv WHERE e > s),
+pairs AS (SELECT DISTINCT t.entry_id AS t, v.entry_id AS v FROM ok t JOIN ok v ON t.rec = v.rec AND t.split = 'train' AND v.split IN ('validation', 'test')
+  WHERE least(t.e, v.e) - greatest(t.s, v.s) >= 0.8::DOUBLE * (v.e - v.s) - 1e-9),
+ms AS (SELECT *, floor(least(s, 9e12::DOUBLE) * 1000)::BIGINT AS a, ceil(least(e, 9e12::DOUBLE) * 1000)::BIGINT AS b FROM ok),
+seen AS (SELECT rec, a, b, max(b) OVER (PARTITION BY rec ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM ms WHERE split = 'train'),
+num AS (SELECT *, sum(CASE WHEN m >= a THEN 0 ELSE 1 END) OVER (PARTITION BY rec ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS k FROM seen),
+busy AS (SELECT rec, min(a) AS a, max(b) AS b FROM num GROUP BY rec, k),
+cov AS (SELECT v.entry_id AS eval_id, v.dataset, v.split, any_value(v.b - v.a) AS size_ms, sum(least(v.b, busy.b) - greatest(v.a, busy.a))::BIGINT AS covered_ms
+  FROM ms v JOIN busy ON v.rec = busy.rec AND v.a < busy.b AND v.b > busy.a WHERE v.split IN ('validation', 'test') GROUP BY ALL),
+coverage AS (SELECT cov.*, coalesce(n, 0) AS n_train FROM cov LEFT JOIN (SELECT v, count(*) AS n FROM pairs GROUP BY v) ON eval_id = v)
+"""
+
+SQL = {
+    "p1_found": _OVERLAPS + "SELECT DISTINCT least(t, v) AS entry_a, greatest(t, v) AS entry_b FROM pairs",
+    "p1_coverage": _OVERLAPS + "SELECT eval_id, dataset, split, n_train, size_ms, covered_ms FROM coverage",
+    "p1_report": _OVERLAPS
+    + """SELECT split, dataset, count(*) AS n_overlapped, count(*) FILTER (WHERE covered_ms >= 0.8::DOUBLE * size_ms) AS n_covered, count(*) FILTER (WHERE n_train > 0) AS n_records,
+    sum(n_train)::BIGINT AS n_pairs, sum(covered_ms)::BIGINT AS covered_ms FROM coverage GROUP BY ALL""",
     "p2_found": f"""
 WITH RECURSIVE {_ENTRIES},
 who AS (SELECT DISTINCT regexp_extract(fname, '^[ ]*0*([0-9]+)([.][A-Za-z0-9]+)?[ ]*$', 1) AS sound, lower(trim(uploader)) AS who FROM dev WHERE lower(trim(uploader)) NOT IN ('', 'unknown', 'n/a')),
