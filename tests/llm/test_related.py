@@ -59,7 +59,7 @@ def test_groups(spark):
     g = {r["entry_id"]: r["group_id"] for r in rl.groups(e, d).collect()}
     assert g == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 6, 7: 6, 8: 6, 9: 6, 10: 10, 11: 10, 12: 12, 13: 13, 15: 12}
     assert rl.groups(e.limit(0), d).count() == 0 and rl.groups(e, d.limit(0)).count() == 14
-    torn = {(r["group_id"], r["entry_id"]) for r in rl.scattered(rl.groups(e, d)).collect()}
+    torn = {(r["group_id"], r["entry_id"]) for r in rl.scattered(rl.groups(e, d), rl.assign_splits(rl.groups(e, d), [("train", 1.0)])).collect()}
     assert torn == {(k, i) for i, k in g.items() if k in (1, 6, 10, 12)}
 
 
@@ -83,7 +83,14 @@ def test_difference_known_case():
 
 
 def test_assignment_is_whole_and_near_the_targets(spark, monkeypatch):
-    monkeypatch.setattr(rl, "PART", 300)  # several partial balances
+    # One part; several parts; parts on two levels of the tree.
+    for part, fan in ((50_000, 64), (300, 64), (60, 4)):
+        monkeypatch.setattr(rl, "PART", part)
+        monkeypatch.setattr(rl, "FAN", fan)
+        check_assignment(spark)
+
+
+def check_assignment(spark):
     rows = [(i, i % 997, "train") for i in range(4000)] + [(9000 + i, 5000, "test") for i in range(2000)]  # a third of all rows is one group
     g = rl.cut(spark.createDataFrame(rows, "entry_id bigint, group_id bigint, split string"))
     a = {r["group_id"]: (r["n"], r["new_split"]) for r in rl.assign_splits(g, [("test", 0.1), ("train", 0.8), ("validation", 0.1)]).collect()}

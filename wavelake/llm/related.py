@@ -7,7 +7,8 @@ those links give the groups, and largest-differencing balance assigns the groups
 Scale: a group of units that share a key is linked by a star to its smallest unit (one link per unit, never all
 pairs); links are made distinct before they are shuffled. Components come from alternating large-star and
 small-star steps, all as joins and aggregates with map-side combination; each step is written to the shared
-folder. Nothing per unit reaches the driver.
+folder. The balance is a tree: parts of PART groups are balanced into BINS bins each, the bins of FAN parts
+into BINS bins again, and so on; a task of the tree holds at most FAN x BINS numbers, the driver none.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from wavelake.session import cut, table
 #: Bins that every partial balance fills, and components of one partial balance.
 BINS = 100
 PART = 50_000
+#: Parts whose bins one step of the tree balances.
+FAN = 64
 #: Placeholders of unknown people. Fixed values.
 NOBODY = ("", "unknown", "n/a")
 
@@ -71,8 +74,8 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.*")
         nxt = cut(small.where(F.col("a") != F.col("b")).distinct())
         # A forest of stars: no node has two parents, no parent is a child.
-        parents = nxt.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
-        open_ = parents.where("n > 1").select("a").unionByName(nxt.select(F.col("b").alias("a")).join(parents.select("a"), "a", "left_semi"))
+        ends = nxt.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")), F.struct(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))).alias("x")).select("x.*")
+        open_ = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)")
         e = nxt
         if open_.isEmpty():
             return e.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
@@ -95,12 +98,6 @@ def groups(entries: DataFrame, dev: DataFrame) -> DataFrame:
     return u.select("entry_id", "split", "unit").join(named, "unit").select("entry_id", "split", "group_id")
 
 
-def scattered(g: DataFrame) -> DataFrame:
-    """``group_id, entry_id`` of the groups whose entries lie in more than one split."""
-    torn = g.groupBy("group_id").agg(F.min("split").alias("lo"), F.max("split").alias("hi")).where(F.col("lo") < F.col("hi")).select("group_id")
-    return g.join(torn, "group_id", "left_semi").select("group_id", "entry_id")
-
-
 # --- largest-differencing balance ---------------------------------------------------------------------------
 
 
@@ -110,6 +107,24 @@ def difference(weights: list[float], bins: int) -> list[int]:
     Every weight begins as a partial solution of one filled bin. The two partial solutions whose bins differ most are combined
     again and again, the fullest bin of one with the emptiest of the other, until one is left. Ties go by position.
     """
+    n = len(weights)
+    owner = [0] * n
+    # As many equal weights as there are bins fill them evenly and leave no difference; only what is over of each weight goes on.
+    at: dict[float, list[int]] = {}
+    for i, w in enumerate(weights):
+        at.setdefault(w, []).append(i)
+    loose = []
+    for mine in at.values():
+        even = len(mine) // bins * bins
+        for k, i in enumerate(mine[:even]):
+            owner[i] = k % bins
+        loose += mine[even:]
+    for i, k in zip(loose, _difference([weights[i] for i in loose], bins)):
+        owner[i] = k
+    return owner
+
+
+def _difference(weights: list[float], bins: int) -> list[int]:
     n = len(weights)
     if not n:
         return []
@@ -147,37 +162,64 @@ def difference(weights: list[float], bins: int) -> list[int]:
     return owner
 
 
+_PLACED = "group_id bigint, n bigint, torn boolean, part bigint, bin bigint"
+
+
 def _partial(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values(["n", "group_id"], ascending=[False, True])
-    return pdf.assign(bin=np.asarray(difference(pdf["n"].tolist(), BINS), np.int64))[["group_id", "n", "part", "bin"]]
+    return pdf.assign(bin=np.asarray(difference(pdf["n"].tolist(), BINS), np.int64))[[c.split()[0] for c in _PLACED.split(", ")]]
+
+
+_STEP = "part bigint, bin bigint, n bigint, node bigint, up bigint"
+
+
+def _step(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The bins of some parts (part, bin, n, node) in the bins of their node."""
+    by_part: dict[int, list[tuple[float, int]]] = {}
+    for p, b, n in zip(pdf["part"].tolist(), pdf["bin"].tolist(), pdf["n"].tolist()):
+        by_part.setdefault(p, []).append((float(n), b))
+    up = {x: k for k, (_, members) in enumerate(combine_parts(by_part, BINS)) for x in members}
+    return pdf.assign(up=[up[x] for x in zip(pdf["part"].tolist(), pdf["bin"].tolist())])[["part", "bin", "n", "node", "up"]]
+
+
+def _allot(targets: list[tuple[str, float]]):
+    """Whole bins (bin, n), all of one node, to the split that lacks most."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["n", "bin"], ascending=[False, True])
+        lack = {s: share * float(pdf["n"].sum()) for s, share in targets}
+        out = []
+        for n in pdf["n"].tolist():
+            s = max(lack, key=lambda k: (lack[k], k))
+            lack[s] -= n
+            out.append(s)
+        return pd.DataFrame({"bin": pdf["bin"], "new_split": out})
+
+    return run
 
 
 def assign_splits(g: DataFrame, targets: list[tuple[str, float]]) -> DataFrame:
-    """``group_id, n, split``: whole groups assigned so that the splits' shares of entries come near ``targets``.
+    """``group_id, n, torn, new_split``: whole groups assigned so that the splits' shares of entries come near ``targets``.
 
-    Groups are hashed into parts of about PART groups. Each part is balanced into BINS bins in its own task; the parts'
-    bins, of which there are BINS per part, are combined by the same differencing on the driver, and whole bins go to
-    the split that lacks most. A group heavier than a bin fills a bin of its own.
+    ``torn`` tells that the group's entries lie in more than one split now. Groups are hashed into parts of about PART; each part is
+    balanced into BINS bins in its own task, the parts' bins are combined by the same differencing, FAN parts at a time, and the last BINS
+    bins go to the splits as a whole. A group heavier than a bin fills a bin of its own. Without targets the new split is null.
     """
-    sizes = g.groupBy("group_id").agg(F.count(F.lit(1)).alias("n"))
-    n = sizes.count()
-    parts = max(1, -(-n // PART))
-    placed = cut(sizes.withColumn("part", F.pmod(F.xxhash64("group_id"), F.lit(parts))).groupBy("part").applyInPandas(_partial, "group_id bigint, n bigint, part bigint, bin bigint"))
-    loads = placed.groupBy("part", "bin").agg(F.sum("n").alias("n")).orderBy("part", "bin").collect()  # at most BINS rows per part
-    by_part: dict[int, list[tuple[float, int]]] = {}
-    for r in loads:
-        by_part.setdefault(r["part"], []).append((float(r["n"]), r["bin"]))
-    merged = combine_parts(by_part, BINS)
-    total = sum(w for w, _ in merged)
-    lack = {s: share * total for s, share in targets}
-    rows = []
-    for w, members in sorted(merged, key=lambda x: (-x[0], x[1])):
-        s = max(lack, key=lambda k: (lack[k], k))
-        lack[s] -= w
-        rows += [(p, b, s) for p, b in members]
-    spark = g.sparkSession
-    to = spark.createDataFrame(rows or [(None, None, None)], "part bigint, bin bigint, new_split string").where("part is not null")
-    return placed.join(to, ["part", "bin"]).select("group_id", "n", "new_split")
+    sizes = g.groupBy("group_id").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.min("split") < F.max("split"), F.lit(False)).alias("torn"))
+    if not targets:
+        return sizes.withColumn("new_split", F.lit(None).cast("string"))
+    sizes = cut(sizes)
+    parts = max(1, -(-sizes.count() // PART))
+    placed = cut(sizes.withColumn("part", F.pmod(F.xxhash64("group_id"), F.lit(parts))).groupBy("part").applyInPandas(_partial, _PLACED))
+    at = placed
+    loads = placed.groupBy("part", "bin").agg(F.sum("n").alias("n"))
+    while parts > 1:
+        step = cut(loads.withColumn("node", F.floor(F.col("part") / F.lit(FAN)).cast("bigint")).groupBy("node").applyInPandas(_step, _STEP))
+        at = at.join(step.select("part", "bin", "node", "up"), ["part", "bin"]).drop("part", "bin").withColumnsRenamed({"node": "part", "up": "bin"})
+        loads = step.groupBy(F.col("node").alias("part"), F.col("up").alias("bin")).agg(F.sum("n").alias("n"))
+        parts = -(-parts // FAN)
+    last = loads.groupBy("part").applyInPandas(_allot(targets), "bin bigint, new_split string")  # at most BINS rows of one part
+    return at.join(last, "bin").select("group_id", "n", "torn", "new_split")
 
 
 def combine_parts(by_part: dict[int, list[tuple[float, int]]], bins: int) -> list[tuple[float, list[tuple[int, int]]]]:
@@ -210,9 +252,15 @@ def _targets(spark: SparkSession, d: str) -> list[tuple[str, float]]:
     return sorted((r[0], float(r[1])) for r in rows if r[0] is not None and r[1] is not None)
 
 
+def scattered(g: DataFrame, assigned: DataFrame) -> DataFrame:
+    """``group_id, entry_id`` of the assigned groups whose entries lie in more than one split now."""
+    return g.join(assigned.where("torn").select("group_id"), "group_id", "left_semi").select("group_id", "entry_id")
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    """Every entry of a group of related entries that now lies in more than one split."""
-    return scattered(_groups(spark, d))
+    """Every entry of a group of related entries that now lies in more than one split and gets one by the balance."""
+    g = cut(_groups(spark, d))
+    return scattered(g, cut(assign_splits(g, _targets(spark, d))))
 
 
 def p2_assign(spark: SparkSession, d: str) -> DataFrame:
@@ -221,6 +269,21 @@ def p2_assign(spark: SparkSession, d: str) -> DataFrame:
     return g.join(assign_splits(g, _targets(spark, d)), "group_id").select("entry_id", "group_id", F.col("split").alias("old_split"), "new_split")
 
 
+def p2_check(spark: SparkSession, d: str) -> DataFrame:
+    """Every group with its number of entries and of new splits (one, whatever its old ones)."""
+    return p2_assign(spark, d).groupBy("group_id").agg(F.count(F.lit(1)).alias("n_entries"), F.countDistinct("old_split").alias("n_old_splits"), F.countDistinct("new_split").alias("n_new_splits"))
+
+
+def p2_near(spark: SparkSession, d: str) -> DataFrame:
+    """Whether each target is met to within the heaviest group or a bin, whichever is larger."""
+    a = assign_splits(cut(_groups(spark, d)), _targets(spark, d))
+    per = a.groupBy("new_split").agg(F.sum("n").alias("n"), F.max("n").alias("heaviest"))
+    total = per.withColumns({"all": F.sum("n").over(W.partitionBy()), "heaviest": F.max("heaviest").over(W.partitionBy())})  # one row per split
+    want = table(spark, d, "split_targets").groupBy(F.col("split").alias("new_split")).agg(F.max("target_share").alias("target_share"))
+    near = F.abs(F.col("n") - F.col("target_share") * F.col("all")) <= F.greatest(F.col("heaviest"), F.ceil(F.col("all") / F.lit(BINS)) + 1)
+    return want.join(total, "new_split", "left").select("new_split", F.coalesce(near, F.lit(False)).alias("near"))
+
+
 def p2_report(spark: SparkSession, d: str) -> DataFrame:
     """Entries, groups and share of each new split, with the target."""
     a = assign_splits(_groups(spark, d), _targets(spark, d)).groupBy("new_split").agg(F.sum("n").alias("n_entries"), F.count(F.lit(1)).alias("n_groups"))
@@ -229,4 +292,4 @@ def p2_report(spark: SparkSession, d: str) -> DataFrame:
     return a.withColumn("share", share).join(want, "new_split", "full").select("new_split", "n_entries", "n_groups", "share", "target_share")
 
 
-QUERIES = {"p2_found": p2_found, "p2_assign": p2_assign, "p2_report": p2_report}
+QUERIES = {"p2_found": p2_found, "p2_assign": p2_assign, "p2_check": p2_check, "p2_near": p2_near, "p2_report": p2_report}

