@@ -47,6 +47,7 @@ def test_sample_and_report(spark):
     for x in got:
         per.setdefault(x["label_idx"], set()).add(x["row_id"])
     assert {c: len(v) for c, v in per.items()} == {c: x["quota"] for c, x in r.items() if x["quota"]}
+    assert len({x["row_id"] for x in got}) == len(got) == 90
     have = {i: {c for c in [a, *(b or [])] if c is not None} for i, a, b in rows}
     assert all(c in have[i] for c, ids in per.items() for i in ids)
     # The same rows whatever the layout.
@@ -54,6 +55,17 @@ def test_sample_and_report(spark):
     assert {(x[0], x[1]) for x in again.collect()} == {(x[0], x[1]) for x in got}
 
 
+def test_rows_of_several_classes_go_where_they_are_needed(spark):
+    # Class 1 needs nearly all its rows, every one of which class 0 could take too; class 2 is as scarce, with rows of its own.
+    rows = [(i, None, [0, 1]) for i in range(100)] + [(1000 + i, 0, None) for i in range(850)] + [(3000 + i, 2, None) for i in range(50)]
+    t = spark.createDataFrame([(0, 0.1, 1), (1, 0.85, 1), (2, 0.05, 20)], TARGET)
+    sample, report = qt.draw(qt.cut(qt.labelled(make(spark, rows))), t)
+    r = {x["label_idx"]: x for x in report.collect()}
+    assert all(x["short"] == 0 for x in r.values()) and r[1]["quota"] >= 68 and r[2]["quota"] == 20 and sum(x["quota"] for x in r.values()) == 100
+    got = sample.collect()
+    assert len({x["row_id"] for x in got}) == 100
+
+
 def test_nothing(spark):
     t = spark.createDataFrame([(0, 0.5, 1)], TARGET)
     s, r = qt.draw(qt.labelled(make(spark, [])), t)

@@ -3,6 +3,9 @@
 Count the categories, allocate whole quotas by largest remainder with minimum floors and availability caps, take the
 rows with the smallest random keys of each category, report what cannot be met.
 
+A row is drawn once at most, so a row with several wanted classes first goes to one of them: at random, with weights that grow with what
+a class needs of what it has, and that are raised for classes which would end below their need.
+
 The keys are hashes of the row id, so the sample is the same on every run. No category is sorted in one task: a
 histogram of the leading key bits per category (at most 2^BITS counts each) gives the slice in which the quota is
 reached; rows of lower slices are taken whole, and only that one slice is ranked.
@@ -24,6 +27,9 @@ BITS = 16
 TENTH = 10
 #: Most categories of a target table; their counts are gathered on the driver.
 MAX_CATEGORIES = 100_000
+#: Times that the weights of classes are raised at most, and the largest weight.
+ROUNDS = 12
+FIRST = 1e9
 
 
 def labelled(raw: DataFrame) -> DataFrame:
@@ -83,11 +89,52 @@ def quotas(classes: list[tuple[int, float, int, int]], n: int) -> dict[int, int]
     return fixed
 
 
+def weights(patterns: DataFrame, need: dict[int, int], have: dict[int, int]) -> dict[int, float]:
+    """Weight of every class, from ``classes, n``: how many rows carry which of the wanted classes.
+
+    Rows of several classes are shared out by weight. Classes that would get fewer rows than they need gain weight, round by round.
+    """
+    w = {c: FIRST if need[c] >= have[c] else max(need[c], 1) / have[c] for c in need if have[c]}
+    numbered = cut(patterns.withColumn("pattern", F.monotonically_increasing_id()))
+    each = numbered.select("pattern", "n", F.explode("classes").alias("label_idx"))
+    for _ in range(ROUNDS):
+        if not w:
+            break
+        known = patterns.sparkSession.createDataFrame(sorted(w.items()), "label_idx bigint, w double")
+        e = each.join(known, "label_idx")
+        total = e.groupBy("pattern").agg(F.sum("w").alias("total"))
+        got = {r[0]: r[1] for r in e.join(total, "pattern").groupBy("label_idx").agg(F.sum(F.col("n") * F.col("w") / F.col("total"))).collect()}  # one row per class
+        low = [c for c in w if w[c] < FIRST and got.get(c, 0.0) < need[c] * 1.02]
+        if not low:
+            break
+        for c in low:
+            w[c] = min(FIRST / 10, w[c] * max(1.5, (need[c] / max(got.get(c, 0.0), 0.5)) ** 2))
+    return w
+
+
+def shared_out(rows: DataFrame, need: dict[int, int], have: dict[int, int], seed: int) -> DataFrame:
+    """``row_id, label_idx``: every row that carries wanted classes, and the one of them that it may serve."""
+    spark = rows.sparkSession
+    wanted = spark.createDataFrame([(c,) for c in sorted(need)], "label_idx bigint")
+    # Rows of one class, which are most, are not shuffled.
+    single = rows.where(F.size("classes") == 1).select("row_id", F.get("classes", 0).alias("label_idx")).join(F.broadcast(wanted), "label_idx").select("row_id", "label_idx")  # at most MAX_CATEGORIES rows
+    several = rows.where(F.size("classes") > 1).select("row_id", F.explode("classes").alias("label_idx")).join(F.broadcast(wanted), "label_idx")
+    several = cut(several.groupBy("row_id").agg(F.array_sort(F.collect_set("label_idx")).alias("classes")))  # the classes of one row
+    counted = several.groupBy("classes").agg(F.count(F.lit(1)).alias("n"))
+    alone = single.groupBy(F.array("label_idx").alias("classes")).agg(F.count(F.lit(1)).alias("n"))
+    w = weights(counted.unionByName(alone), need, have)
+    known = spark.createDataFrame(sorted(w.items()), "label_idx bigint, w double")
+    u = (F.pmod(F.xxhash64("row_id", "label_idx", F.lit(seed)), F.lit(1 << 40)) + 1) / F.lit(float((1 << 40) + 1))
+    scored = several.select("row_id", F.explode("classes").alias("label_idx")).join(F.broadcast(known), "label_idx").withColumn("score", -F.log(u) / F.col("w"))
+    return single.unionByName(scored.groupBy("row_id").agg(F.min_by("label_idx", F.struct("score", "label_idx")).alias("label_idx")))
+
+
 def draw(rows: DataFrame, targets: DataFrame, seed: int = 17) -> tuple[DataFrame, DataFrame]:
     """``(sample, report)``.
 
-    ``sample`` is ``label_idx, row_id``: for each class the rows that serve its quota; a row with several classes may serve
-    several. ``report`` is ``label_idx, have, want, min_rows, quota, short``: ``short`` = rows missing to the share or the minimum.
+    ``sample`` is ``label_idx, row_id``: the rows and the class whose quota each serves; no row comes twice. ``report`` is ``label_idx, have,
+    usable, want, min_rows, quota, short``: rows that carry the class, rows of it that serve no other class, the wanted number, the minimum,
+    the quota (at most ``usable``), and the rows missing to the share or the minimum whatever the others get.
     """
     spark = rows.sparkSession
     state = shortfalls(rows, targets).limit(MAX_CATEGORIES + 1).collect()
@@ -95,11 +142,13 @@ def draw(rows: DataFrame, targets: DataFrame, seed: int = 17) -> tuple[DataFrame
         raise ValueError(f"more than {MAX_CATEGORIES} categories")
     n = state[0]["n"] if state else 0
     share = {r["label_idx"]: (r["want"] / n if n else 0.0) for r in state}
+    need = {r["label_idx"]: max(math.ceil(r["want"]), r["min_rows"]) for r in state}
+    served = cut(shared_out(rows, need, {r["label_idx"]: r["have"] for r in state}, seed))
+    usable = dict(map(tuple, served.groupBy("label_idx").agg(F.count(F.lit(1))).collect()))  # one row per class
     # Scaled to n by the sum of the shares where they do not sum to one.
-    q = quotas([(r["label_idx"], share[r["label_idx"]], r["min_rows"], r["have"]) for r in state], n)
-    plan = spark.createDataFrame([(r["label_idx"], r["have"], r["want"], r["min_rows"], q[r["label_idx"]]) for r in state], "label_idx bigint, have bigint, want double, min_rows bigint, quota bigint")
-    keyed = rows.select("row_id", F.explode("classes").alias("label_idx")).withColumn("key", F.xxhash64("row_id", F.lit(seed)))
-    keyed = keyed.join(plan.where("quota > 0").select("label_idx", "quota"), "label_idx").withColumn("slice", F.shiftright("key", 64 - BITS))
+    q = quotas([(c, share[c], r["min_rows"], usable.get(c, 0)) for r in state for c in [r["label_idx"]]], n)
+    plan = spark.createDataFrame([(r["label_idx"], r["have"], usable.get(r["label_idx"], 0), r["want"], r["min_rows"], q[r["label_idx"]]) for r in state], "label_idx bigint, have bigint, usable bigint, want double, min_rows bigint, quota bigint")
+    keyed = served.withColumn("key", F.xxhash64("row_id", F.lit(seed))).join(F.broadcast(plan.where("quota > 0").select("label_idx", "quota")), "label_idx").withColumn("slice", F.shiftright("key", 64 - BITS))
     below = W.partitionBy("label_idx").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
     hist = keyed.groupBy("label_idx", "slice", "quota").agg(F.count(F.lit(1)).alias("c")).withColumn("before", F.coalesce(F.sum("c").over(below), F.lit(0)))
     edge = hist.where((F.col("before") < F.col("quota")) & (F.col("before") + F.col("c") >= F.col("quota"))).select("label_idx", F.col("slice").alias("edge"), "before")
@@ -125,21 +174,41 @@ def p7_sample(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_report(spark: SparkSession, d: str) -> DataFrame:
-    """Quota and shortfall of every class."""
-    return draw(cut(labelled(table(spark, d, "raw_cache"))), table(spark, d, "sample_targets"))[1]
+    """Quota and shortfall of every class, rows drawn for it, and rows of the sample that carry it."""
+    rows = cut(labelled(table(spark, d, "raw_cache")))
+    sample, report = draw(rows, table(spark, d, "sample_targets"))
+    sample = cut(sample)
+    drawn = sample.groupBy("label_idx").agg(F.count(F.lit(1)).alias("drawn"))
+    carried = rows.join(sample.select("row_id"), "row_id", "left_semi").select(F.explode("classes").alias("label_idx")).groupBy("label_idx").agg(F.count(F.lit(1)).alias("carried"))
+    return report.join(drawn, "label_idx", "left").join(carried, "label_idx", "left").na.fill(0, ["drawn", "carried"])
 
 
-QUERIES = {"p7_found": p7_found, "p7_sample": p7_sample, "p7_report": p7_report}
+def p7_check(spark: SparkSession, d: str) -> DataFrame:
+    """Every class: what it has and misses; whether its quota was drawn, of rows that carry it and serve no other class."""
+    rows = cut(labelled(table(spark, d, "raw_cache")))
+    sample, report = draw(rows, table(spark, d, "sample_targets"))
+    sample = cut(sample)
+    times = sample.groupBy("row_id").agg(F.count(F.lit(1)).alias("times"))
+    good = F.array_contains("classes", F.col("label_idx")) & (F.col("times") == 1)
+    per = sample.join(times, "row_id").join(rows, "row_id", "left").groupBy("label_idx").agg(F.count(F.lit(1)).alias("drawn"), F.min(F.coalesce(good, F.lit(False))).alias("good"))
+    served = (F.coalesce("drawn", F.lit(0)) == F.col("quota")) & F.coalesce("good", F.lit(True))
+    return report.join(per, "label_idx", "left").select("label_idx", "have", F.round("want", 6).alias("want"), "min_rows", "short", served.alias("served"))
 
-SQL = {
-    "p7_found": """
+
+QUERIES = {"p7_found": p7_found, "p7_sample": p7_sample, "p7_report": p7_report, "p7_check": p7_check}
+
+_HAVE = """
 WITH rows AS (
   SELECT DISTINCT row_id, label_idx, label_idxs FROM raw_cache WHERE label_idx IS NOT NULL OR len(label_idxs) > 0
 ), size AS (SELECT count(DISTINCT row_id) // 10 AS n FROM rows),
-have AS (
+counted AS (
   SELECT c, count(DISTINCT row_id) AS h FROM (SELECT row_id, unnest(list_append(coalesce(label_idxs, []), label_idx)) AS c FROM rows) WHERE c IS NOT NULL GROUP BY c
+), state AS (
+  SELECT t.label_idx, coalesce(h, 0) AS have, t.target_share * n AS want, min_rows FROM sample_targets t CROSS JOIN size LEFT JOIN counted ON counted.c = t.label_idx
 )
-SELECT t.label_idx FROM sample_targets t CROSS JOIN size LEFT JOIN have ON have.c = t.label_idx
-WHERE coalesce(h, 0) < t.target_share * n OR coalesce(h, 0) < t.min_rows
 """
+
+SQL = {
+    "p7_found": _HAVE + "SELECT label_idx FROM state WHERE have < want OR have < min_rows",
+    "p7_check": _HAVE + "SELECT label_idx, have, round(want, 6) AS want, min_rows, greatest(0, greatest(ceil(want)::BIGINT, min_rows) - have) AS short, true AS served FROM state",
 }

@@ -75,8 +75,8 @@ SELECT DISTINCT least(q, o) AS vec_a, greatest(q, o) AS vec_b FROM r WHERE rn <=
 """,
     "p3_similar": _SIMILAR,
     "p3_exact": _SIMILAR,
-    "p4_found": pieces.SQL["p4_found"],
-    "p7_found": quota.SQL["p7_found"],
+    **pieces.SQL,
+    **quota.SQL,
     "p8_found": r"""
 WITH i AS (SELECT item_id, regexp_extract_all(replace(lower(nfc_normalize(text)), 'ß', 'ss'), '[\p{L}\p{N}]+') AS w FROM eval_items),
 n AS (SELECT *, least(12, len(w)) AS n FROM i WHERE len(w) > 0),
