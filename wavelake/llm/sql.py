@@ -1,6 +1,6 @@
 """SQL that gives the same rows as the queries, by other and plainer means; for the correctness gate only."""
 
-from wavelake.llm import pieces, quota
+from wavelake.llm import mixing, pieces, quota
 
 # A path below its dataset's root, for layouts written without a root of their own.
 _CLEAN = r"""
@@ -77,6 +77,7 @@ SELECT DISTINCT least(q, o) AS vec_a, greatest(q, o) AS vec_b FROM r WHERE rn <=
     "p3_exact": _SIMILAR,
     **pieces.SQL,
     **quota.SQL,
+    **mixing.SQL,
     "p8_found": r"""
 WITH i AS (SELECT item_id, regexp_extract_all(replace(lower(nfc_normalize(text)), 'ß', 'ss'), '[\p{L}\p{N}]+') AS w FROM eval_items),
 n AS (SELECT *, least(12, len(w)) AS n FROM i WHERE len(w) > 0),
