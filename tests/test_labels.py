@@ -70,4 +70,4 @@ def test_join_of_outlying_intervals(spark):
         l = spark.createDataFrame(x, "k string, i int, a double, b double")
         r = spark.createDataFrame(y, "k string, j int, c double, d double")
         got = sorted((r["i"], r["j"]) for r in interval_join(l, r, ["k"], ("a", "b"), ("c", "d"), 1.0).collect())
-        assert got == sorted((i, j) for k, i, a, b in x for m, j, c, d in y if k == m and b < 1e17 and d < 1e17 and a < d and c < b)
+        assert got == sorted((i, j) for k, i, a, b in x for m, j, c, d in y if k == m and b < math.inf and d < math.inf and a < d and c < b)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 #: Buckets that an interval covers at most at its own level, and by which the levels' widths grow.
 SPAN = 64
 #: Bounds from which an interval counts as infinite.
-FAR = 1e17
+FAR = 1e19
 
 
 def overlaps(a_start: Column, a_end: Column, b_start: Column, b_end: Column) -> Column:

@@ -28,8 +28,8 @@ BLOCK_MS = 3_600_000
 
 
 def whole_ms(seconds: Column) -> Column:
-    """Seconds as whole milliseconds (half-even); null for null, NaN and infinite times."""
-    ok = seconds.isNotNull() & ~F.isnan(seconds) & (F.abs(seconds) < F.lit(9e12))
+    """Seconds as whole milliseconds (half-even); null for null, NaN and infinite times, and for those whose sums leave the range of bigint."""
+    ok = seconds.isNotNull() & ~F.isnan(seconds) & (F.abs(seconds) < F.lit(4e15))
     return F.when(ok, F.rint(seconds * F.lit(1000.0)).cast("bigint"))
 
 
