@@ -35,12 +35,12 @@ def test_cuts_are_quiet_wherever_they_can_be(length, size, busy):
             assert all(loud(t) for t in range(edges[k - 1] + 1, edges[k + 1])) or any(not loud(x) for x in cuts)
 
 
-def run(spark, raw, events, limits=(("d", 10.0, 1.0),)):
+def run(spark, raw, events, limits=(("d", 10.0, 1.0),), **sizes):
     r = spark.createDataFrame([(*x, T0, "clash") for x in raw], RAW)
     lim = spark.createDataFrame(list(limits), "dataset string, max_sec double, overlap_sec double")
     items = pc.oversized(r, lim)
     out = {}
-    for p in pc.pieces(items, spark.createDataFrame(events, EVENT)).orderBy("row_id", "piece").collect():
+    for p in pc.pieces(items, spark.createDataFrame(events, EVENT), **sizes).orderBy("row_id", "piece").collect():
         out.setdefault(p["row_id"], []).append((p["from_ms"], p["to_ms"], p["quiet"]))
     return out
 
@@ -64,3 +64,19 @@ def test_pieces(spark):
     # The only quiet moment is far from the middle and is used all the same.
     one = run(spark, [(1, "d", "c", 0.0, 12.0, 1.0)], [("c", "x", 0.0, 3.2, 1.0), ("c", "x", 3.3, 12.0, 1.0)])
     assert one[1][1][2] and 3200 <= one[1][0][1] <= 3300
+
+
+def test_items_of_many_stretches_are_cut_alike(spark):
+    rng = random.Random(4)
+    events = [(p, "x", t, t + rng.choice([0.5, 3.0, 4.9, 14.0]), 1.0) for p in "ab" for t in np.arange(0, 1500, 5.0).tolist()]
+    raw = [(1, "d", "a", 0.0, 900.0, 1.0), (2, "d", "b", 3.5, 1400.0, 1.0), (3, "d", "a", 0.0, 30.0, 1.0), (4, "d", "c", 0.0, 70.0, 1.0), (5, "d", None, 0.0, 70.0, 1.0), (6, "d", "b", 700.0, 725.5, 1.0)]
+    want = run(spark, raw, events)
+    assert set(want) == {1, 2, 3, 4, 5, 6}
+    assert run(spark, raw, events, many=7) == want == run(spark, raw, events, many=60)
+
+
+def test_outlying_events(spark):
+    raw = [(1, "d", "a", 0.0, 25.0, 25.0), (2, "d", "b", 0.0, 25.0, 25.0)]
+    got = run(spark, raw, [("a", "x", 1.0, 5e14, 1.0), ("a", "x", -8e12, 0.5, 1.0), ("b", "x", 10.0, 8e12, 1.0), ("b", "x", 3.0, 4.0, 1.0)])
+    assert got[1][0] == (0, 999, True) and not any(q for _, _, q in got[1][2:]) and got[2][0] == (0, 9_999, True)
+    assert got[2][-1][1] == got[1][-1][1] == 25_000 and all(b - a <= 10_000 for p in got.values() for a, b, _ in p)
