@@ -142,3 +142,10 @@ def test_shared_bounds_subsequence(doc, item):
 def test_stretches():
     doc = np.arange(300)
     assert [(int(s[0]), int(s[-1]) + 1) for s in lk.stretches(doc, [0, 12, 96, 288], 10)] == [(0, 34), (2, 46), (86, 130), (278, 300)]
+
+
+def test_blocks_of_items(spark):
+    docs, items = world(5, 120)
+    d, i = spark.createDataFrame([(*d, "clash") for d in docs], DOC), spark.createDataFrame([(k, "test", t) for k, t in items], ITEM)
+    got = [{(r["item_id"], r["doc_id"], r["run"]) for r in lk.leaks(d, i, block=b).where("run >= least(12, n_words)").collect()} for b in (10**6, 1500)]
+    assert got[0] == got[1] and {x[:2] for x in got[0]} == brute(docs, items)

@@ -5,18 +5,19 @@ a distributed randomised SVD of that matrix gives a latent space, in which docum
 become candidates. Candidates are checked on the whole document: the longest common run of words (the answer
 check: does the item, or twelve words of it on end, stand there), and the longest common subsequence for paraphrases.
 
-Candidates for answers lose none. A passage x that holds an answer q has every word of q at least as often, so x.q >= |q|^2 in
-the weighted words; and x.q is at most the product of their latent vectors plus the product of the lengths of what the latent
-space leaves out of each. Passages below |q|^2 by that bound hold no answer. Candidates for paraphrases have a cosine of COSINE
-with an evaluation passage in the latent space, which is no bound.
+A passage and an item meet only if the passage holds as many words of the item as what is looked for needs (counted at once for all items of
+a block, exact). Such pairs are compared in the latent space. Candidates for answers lose none there: a passage x that holds an
+answer q has every word of q at least as often, so x.q >= |q|^2 in the weighted words; and x.q is at most the product of their latent vectors
+plus the product of the lengths of what the latent space leaves out of each. Passages below |q|^2 by that bound hold no answer. Candidates
+for paraphrases have a cosine of COSINE with an evaluation passage in the latent space, which is no bound.
 
 Words outside the evaluation items weigh nothing in an evaluation passage, so the matrix needs their columns only; its statistics
 come from all passages of all documents. Any run of 12 words lies wholly in one passage. A passage with fewer words
-of the items than the shortest answer (at most 12) cannot hold an answer and is not searched; no other passage is skipped.
+of the items than the shortest answer or paraphrase of one needs is not searched; no other passage is skipped.
 
-Scale: documents are read once and kept as word numbers; every later pass streams over them without a shuffle and
-sends per task one matrix of (words of the items) x (rank), which is added up by blocks of words. The driver and the
-tasks hold only what grows with the evaluation items, which are bounded by MAX_WORDS.
+Scale: items come in blocks of about BLOCK characters, each with a latent space of its own, so driver and tasks hold no more than one block's
+words, passages and latent vectors, however many items there are. For every block the documents are kept as word numbers; the
+passes over them need no shuffle and send per task one matrix of (words of the block) x (rank), added up by blocks of words.
 """
 
 from __future__ import annotations
@@ -41,8 +42,8 @@ COSINE = 0.4
 QUERY_STRIDE = 4
 #: Share of an item's words in the longest common subsequence from which a document paraphrases it.
 PARAPHRASE = 0.8
-#: Most words of all evaluation items together.
-MAX_WORDS = 5_000_000
+#: Characters, and number, of the evaluation items of one block.
+BLOCK, MOST = 250_000, 1_000
 #: Rows of the projected matrix that are added up together.
 ROWS = 256
 
@@ -66,30 +67,21 @@ class Items:
         self.ids = sorted(i for i, w in split.items() if w)
         self.vocabulary = {w: k for k, w in enumerate(sorted({w for i in self.ids for w in split[i]}))}
         self.words = [np.array([self.vocabulary[w] for w in split[i]], np.int32) for i in self.ids]
-        self.least = min((min(ANSWER, len(w)) for w in self.words), default=ANSWER)
-
-    @classmethod
-    def read(cls, items: DataFrame) -> Items:
-        """Items by item_id; of repeated ids the greatest text counts. More than MAX_WORDS words are refused."""
-        size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-        if size > MAX_WORDS * 8:
-            raise ValueError(f"evaluation items of {size} characters; the bound is {MAX_WORDS * 8}")
-        return cls([tuple(r) for r in items.groupBy("item_id").agg(F.max("text")).collect()])
-
-    def passages(self) -> tuple[list[np.ndarray], np.ndarray]:
-        """Evaluation passages of up to ANSWER words, QUERY_STRIDE apart, and the item of each."""
-        out, owner = [], []
-        for k, w in enumerate(self.words):
-            last = max(0, len(w) - ANSWER)
-            for a in sorted({*range(0, last + 1, QUERY_STRIDE), last}):
-                out.append(w[a : a + ANSWER])
-                owner.append(k)
-        return out, np.array(owner, np.int64)
-
-    def answers(self) -> tuple[list[np.ndarray], np.ndarray]:
-        """Every answer, ANSWER words on end of an item or all of a shorter one, and the item of each."""
-        out = [w[a : a + ANSWER] for w in self.words for a in range(max(1, len(w) - ANSWER + 1))]
-        return out, np.repeat(np.arange(len(self.words)), [max(1, len(w) - ANSWER + 1) for w in self.words])
+
+    def passages(self) -> list[list[np.ndarray]]:
+        """Per item the evaluation passages of up to ANSWER words, QUERY_STRIDE apart."""
+        starts = lambda last: sorted({*range(0, last + 1, QUERY_STRIDE), last})
+        return [[w[a : a + ANSWER] for a in starts(max(0, len(w) - ANSWER))] for w in self.words]
+
+    def answers(self) -> list[np.ndarray]:
+        """Per item every answer: ANSWER words on end, or all of a shorter one, padded with -1."""
+        out = []
+        for w in self.words:
+            n = min(ANSWER, len(w))
+            a = np.full((len(w) - n + 1, ANSWER), -1, np.int32)
+            a[:, :n] = np.lib.stride_tricks.sliding_window_view(w, n)
+            out.append(a)
+        return out
 
 
 def numbered(documents: DataFrame, items: Items) -> DataFrame:
@@ -320,113 +312,141 @@ def bulk_checks(passages: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np
     return best.astype(np.int64), width - np.bitwise_count(v).astype(np.int64)
 
 
-_LEAKS = "item_id bigint, doc_id bigint, cosine double, run bigint, subsequence bigint, n_words bigint"
+class Search:
+    """The search for the items of one block in batches of documents."""
+
+    def __init__(self, it: Items, weight: np.ndarray, latent: np.ndarray, cosine: float, paraphrases: bool):
+        self.ids, self.words, self.weight, self.cosine, self.paraphrases = it.ids, it.words, weight, cosine, paraphrases
+        self.space = (weight[:, None] * latent).astype(np.float32)
+        self.lengths = np.array([len(w) for w in it.words])
+        self.answer = np.minimum(ANSWER, self.lengths)
+        # An answer needs all its words in one passage, a paraphrase of it a share of them.
+        self.share = PARAPHRASE if paraphrases else 1.0
+        self.need = np.ceil(self.share * self.answer - 1e-9).astype(np.int64)
+        self.has = np.zeros((len(weight), len(it.words)), np.uint8)  # words x items
+        self.padded = np.full((len(it.words), self.lengths.max()), -2, np.int32)
+        for j, w in enumerate(it.words):
+            self.has[w, j] = 1
+            self.padded[j, : len(w)] = w
+        self.listed = np.concatenate([self.has, np.zeros((1, len(it.words)), np.uint8)]).astype(np.int32)  # a word of no item is -1, the last row
+        self.queries = [_unit(np.array([self.space[p].sum(0) for p in of])).astype(np.float32) for of in it.passages()]
+        self.bounds = []
+        for wide in it.answers():
+            square = squares(wide, weight)
+            inside = np.where(wide[..., None] >= 0, self.space[wide], 0).sum(1)
+            self.bounds.append((with_rest(inside, square) / square[:, None]).astype(np.float32))
+
+    def pairs(self, p: Passages) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(half, item, cosine)`` of the passages that may hold an answer or a paraphrase of an item."""
+        inside = p.sums(np.ones(len(self.space), np.int32))
+        at = np.flatnonzero(p.begins & (inside >= self.need.min()))
+        i, j = np.nonzero(p.sums_at(at, self.has) >= self.need) if len(at) else (at, at)
+        if not len(i):
+            return (np.zeros(0, np.int64),) * 2 + (np.zeros(0),)
+        used, i = np.unique(i, return_inverse=True)
+        at = at[used]
+        latent = p.sums_at(at, self.space)
+        unit_, x = _unit(latent), with_rest(latent, squares(p.texts(at), self.weight)).astype(np.float32)
+        order = np.argsort(j, kind="stable")
+        i, j = i[order], j[order]
+        cos, near = np.empty(len(i)), np.empty(len(i), bool)
+        for mine in np.split(np.arange(len(i)), np.flatnonzero(np.diff(j)) + 1):
+            k = j[mine[0]]
+            cos[mine] = (unit_[i[mine]] @ self.queries[k].T).max(1)
+            near[mine] = (x[i[mine]] @ self.bounds[k].T).max(1) >= 1 - SLACK
+        keep = near | (cos >= self.cosine) if self.paraphrases else near
+        return at[i[keep]], j[keep], cos[keep]
+
+    def batch(self, doc_ids: np.ndarray, packed: list[bytes]) -> list[tuple]:
+        p = Passages(packed)
+        half, item, cos = self.pairs(p)
+        order = np.argsort(self.lengths[item], kind="stable")  # items of like length share a step
+        half, item, cos = half[order], item[order], cos[order]
+        best: dict[tuple[int, int], tuple[bool, float, int]] = {}
+        hits: dict[tuple[int, int], list[int]] = {}
+        for k in range(0, len(item), 5_000):
+            h, j, c = half[k : k + 5_000], item[k : k + 5_000], cos[k : k + 5_000]
+            run, sub = bulk_checks(p.texts(h), self.padded[j, : self.lengths[j].max()])
+            answer = run >= self.answer[j]
+            hit = answer | (sub >= self.share * self.answer[j])
+            for d, j_, c_, h_, r in zip(p.doc_of[h][hit].tolist(), j[hit].tolist(), c[hit].tolist(), h[hit].tolist(), answer[hit].tolist()):
+                if (d, j_) not in best or (r, c_) > best[d, j_][:2]:
+                    best[d, j_] = (r, c_, h_)
+                hits.setdefault((d, j_), []).append(h_)
+        first = np.searchsorted(p.doc_of, np.arange(len(p.docs)))
+        out = []
+        for (d, j), (answer, c, h) in best.items():
+            if not (answer or self.paraphrases):
+                continue
+            w, doc = self.words[j], p.docs[d]
+            starts = np.array([h] if answer else hits[d, j]) * STRIDE - first[d] * STRIDE
+            if not answer:
+                # Only stretches that hold words of the item as often as a paraphrase of all of it needs.
+                inside = np.r_[0, np.cumsum(self.listed[doc, j])]
+                lo, hi = np.maximum(starts - len(w), 0), np.minimum(starts + 2 * STRIDE + len(w), len(doc))
+                starts = starts[inside[hi] - inside[lo] >= PARAPHRASE * len(w)]
+                if not len(starts):
+                    continue
+            near = stretches(doc, starts.tolist(), len(w))
+            sub = 0
+            for x, most in zip(near, [len(w)] if answer else shared(near, w)):
+                # Stretches with too few words of the item for a paraphrase of all of it, or for a longer one, are not searched.
+                if most > sub and (answer or most >= PARAPHRASE * len(w)):
+                    sub = max(sub, common_subsequence(x, w))
+            if answer or sub >= PARAPHRASE * len(w):
+                out.append((self.ids[j], doc_ids[d], c, longest_run(doc, w), sub, len(w)))
+        return out
 
 
-def leaks(documents: DataFrame, items: DataFrame, cosine: float = COSINE, rank: int = RANK, paraphrases: bool = False) -> DataFrame:
-    """``item_id, doc_id, cosine, run, subsequence, n_words``: every document that holds an answer of an item, or (with
-    ``paraphrases``) a paraphrase of all of it.
+_LEAKS = "item_id bigint, doc_id bigint, cosine double, run bigint, subsequence bigint, n_words bigint"
 
-    ``run`` is the longest run of the item's words in the document, ``subsequence`` the longest common subsequence within
-    the stretch of the document around any passage found (with an answer, the best one), ``n_words`` the item's length. Null
-    and empty texts leak nothing.
-    """
-    it = Items.read(items)
-    spark = documents.sparkSession
-    if not it.ids:
-        return spark.createDataFrame([], _LEAKS)
+
+def _leaks_of(documents: DataFrame, it: Items, cosine: float, rank: int, paraphrases: bool) -> DataFrame:
     docs = cut(numbered(documents, it))
     weight = idf(docs, len(it.vocabulary))
-    space = weight[:, None] * latent_space(docs, weight, rank)
-    passages, owner = it.passages()
-    # An answer needs all its words in one passage, a paraphrase of it a share of them.
-    share = PARAPHRASE if paraphrases else 1.0
-    least = math.ceil(share * it.least)
-    queries = _unit(np.array([space[p].sum(0) for p in passages])).astype(np.float32)
-    answers, answer_owner = it.answers()
-    wide = np.full((len(answers), ANSWER), -1, np.int32)
-    for k, a in enumerate(answers):
-        wide[k, : len(a)] = a
-    square = squares(wide, weight)
-    bounds = (with_rest(np.array([space[a].sum(0) for a in answers]), square) / square[:, None]).astype(np.float32)
-    sent = spark.sparkContext.broadcast((it.ids, it.words, least, owner, queries, answer_owner, bounds, weight, space))
+    sent = documents.sparkSession.sparkContext.broadcast((it, weight, latent_space(docs, weight, rank).astype(np.float32)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, item_words, least, owner, queries, answer_owner, bounds, weight, space = sent.value
-        starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-        answer_starts = np.flatnonzero(np.r_[True, answer_owner[1:] != answer_owner[:-1]])
-        lengths = np.array([len(w) for w in item_words])
-        padded = np.full((len(item_words), lengths.max()), -2, np.int32)
-        for j, w in enumerate(item_words):
-            padded[j, : len(w)] = w
+        search = Search(*sent.value, cosine, paraphrases)
         for pdf in batches:
-            p = Passages(list(pdf["words"]))
-            doc_ids = pdf["doc_id"].to_numpy()
-            inside = p.sums(np.ones(len(space), np.int32))
-            at = np.flatnonzero(p.begins & (inside >= least))
-            found = []
-            if len(at):
-                for k in range(0, len(at), 4096):
-                    latent = p.sums_at(at[k : k + 4096], space)
-                    c = np.maximum.reduceat(_unit(latent).astype(np.float32) @ queries.T, starts, axis=1)  # passages x items
-                    x = with_rest(latent, squares(p.texts(at[k : k + 4096]), weight)).astype(np.float32)
-                    near = np.maximum.reduceat(x @ bounds.T, answer_starts, axis=1) >= 1 - SLACK
-                    i, j = np.nonzero(near | (c >= cosine) if paraphrases else near)
-                    found.append((owner[starts[j]], at[k + i], c[i, j]))
-            item, half, cos = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
-            kept = []
-            order = np.argsort(item, kind="stable")
-            for mine in np.split(order, np.flatnonzero(np.diff(item[order])) + 1) if len(order) else []:
-                # What is looked for cannot be there without as many words of the item in the passage.
-                j = int(item[mine[0]])
-                of_item = np.zeros(len(space), np.int8)
-                of_item[item_words[j]] = 1
-                kept.append(mine[p.sums_at(half[mine], of_item) >= share * min(ANSWER, len(item_words[j]))])
-            kept = np.concatenate(kept) if kept else np.zeros(0, np.int64)
-            kept = kept[np.argsort(lengths[item[kept]], kind="stable")]  # items of like length share a step
-            best: dict[tuple[int, int], tuple[float, int, bool]] = {}
-            hits: dict[tuple[int, int], list[int]] = {}
-            for k in range(0, len(kept), 5_000):
-                part = kept[k : k + 5_000]
-                run_, sub = bulk_checks(p.texts(half[part]), padded[item[part], : lengths[item[part]].max()])
-                need = np.minimum(ANSWER, lengths[item[part]])
-                hit = (run_ >= need) | (sub >= share * need)
-                for d, j, c, h, r in zip(p.doc_of[half[part]][hit].tolist(), item[part][hit].tolist(), cos[part][hit].tolist(), half[part][hit].tolist(), (run_ >= need)[hit].tolist()):
-                    old = best.get((d, j))
-                    if old is None or (r, c) > (old[2], old[0]):
-                        best[d, j] = (c, h, r)
-                    hits.setdefault((d, j), []).append(h)
-            first = np.searchsorted(p.doc_of, np.arange(len(p.docs)))
-            out = []
-            for (d, j), (c, h, answer) in best.items():
-                if not (answer or paraphrases):
-                    continue
-                w, doc = item_words[j], p.docs[d]
-                near = stretches(doc, [(x - first[d]) * STRIDE for x in ([h] if answer else hits[d, j])], len(w))
-                sub = 0
-                for x, most in zip(near, [len(w)] if answer else shared(near, w)):
-                    # Stretches with too few words of the item for a paraphrase of all of it, or for a longer one, are not searched.
-                    if most > sub and (answer or most >= PARAPHRASE * len(w)):
-                        sub = max(sub, common_subsequence(x, w))
-                if answer or sub >= PARAPHRASE * len(w):
-                    out.append((ids[j], doc_ids[d], c, longest_run(doc, w), sub, len(w)))
+            ids, packed = pdf["doc_id"].to_numpy(), list(pdf["words"])
+            out = [x for k in range(0, len(packed), FEW) for x in search.batch(ids[k : k + FEW], packed[k : k + FEW])]
             yield pd.DataFrame(out, columns=[c.split()[0] for c in _LEAKS.split(", ")]).astype({"item_id": "int64", "doc_id": "int64", "cosine": float, "run": "int64", "subsequence": "int64", "n_words": "int64"})
 
     return docs.mapInPandas(run, _LEAKS)
 
 
+def leaks(documents: DataFrame, items: DataFrame, cosine: float = COSINE, rank: int = RANK, paraphrases: bool = True, block: int = BLOCK) -> DataFrame:
+    """``item_id, doc_id, cosine, run, subsequence, n_words``: every document that holds an answer of an item, or (with
+    ``paraphrases``) a paraphrase of all of it.
+
+    ``run`` is the longest run of the item's words in the document, ``subsequence`` the longest common subsequence within
+    the stretch of the document around any passage found (with an answer, the best one), ``n_words`` the item's length. Null
+    and empty texts leak nothing. Of repeated item_ids the greatest text counts. Items are taken in blocks by the hash of their ids.
+    """
+    own = items.where(F.col("item_id").isNotNull()).groupBy("item_id").agg(F.max("text").alias("text"))
+    size, n = own.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)), F.count(F.lit(1))).first()
+    blocks = max(1, -(-size // block), -(-n // MOST))
+    out = documents.sparkSession.createDataFrame([], _LEAKS)
+    for k in range(blocks):
+        it = Items([tuple(r) for r in own.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).collect()])  # about ``block`` characters
+        if it.ids:
+            out = out.unionByName(_leaks_of(documents, it, cosine, rank, paraphrases))
+    return out
+
+
 def _leaks(spark: SparkSession, d: str, **options) -> DataFrame:
     return leaks(table(spark, d, "documents"), table(spark, d, "eval_items"), **options)
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    """Items and the documents that hold at least ANSWER consecutive words of them, or all of a shorter item."""
+    """Items and the documents that hold at least ANSWER consecutive words of them, or all of a shorter item; paraphrases are searched too and left out here."""
     return _leaks(spark, d).where(F.col("run") >= F.least(F.lit(ANSWER), "n_words")).select("item_id", "doc_id")
 
 
 def p8_report(spark: SparkSession, d: str) -> DataFrame:
     """Leaked items: how many documents hold all of the item, a passage of it, or a paraphrase."""
-    x = _leaks(spark, d, paraphrases=True)
+    x = _leaks(spark, d)
     kind = F.when(F.col("run") == F.col("n_words"), "whole").when(F.col("run") >= F.least(F.lit(ANSWER), "n_words"), "passage").when(F.col("subsequence") >= F.lit(PARAPHRASE) * F.col("n_words"), "paraphrase")
     return x.withColumn("kind", kind).where(F.col("kind").isNotNull()).groupBy("item_id", "kind").agg(F.count(F.lit(1)).alias("n_documents"))
 
