@@ -61,13 +61,23 @@ CHARS = 4_000_000
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 #: Words, ends of sentences (1) and of texts (0).
 _UNIT = re.compile(rf"{_WORD.pattern}|[\x00\x01]")
-_END = re.compile(r"[.!?。！？…]+[\"'”’)\]]*(?=[\s\x00]|[^\x00-\x7f])|[。！？]+[\"'”’)\]]*|\n")
-#: What marks a token that no language is read from: settings, file names, numbers with units, addresses.
-_MARK = re.compile(r"[=_\\@]|://|www\.|[A-Za-z][0-9]|[0-9][A-Za-z]|\.[a-z0-9]{2,4}\b(?=\W|$)")
-_TOKEN = re.compile(r"[!-~]+")
 _CONTROL = {0: " ", 1: " "}
 
 
+def _ascii(characters: str) -> np.ndarray:
+    """Which of the ASCII characters (and, last, of all others) are listed."""
+    out = np.zeros(129, bool)
+    out[[ord(c) for c in characters]] = True
+    return out
+
+
+_STOP, _CLOSE, _SPACE = _ascii(".!?"), _ascii("\"')]"), _ascii("\x00\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f ")
+_SPACE[128] = True
+_FULL_STOPS = [ord(c) for c in "。！？"]
+_SIGNS, _LOWER, _UPPER, _DIGIT = _ascii("=_\\@"), _ascii("abcdefghijklmnopqrstuvwxyz"), _ascii("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), _ascii("0123456789")
+_PRINTED = _ascii("".join(map(chr, range(33, 127))))
+
+
 def label_language(label: Column) -> Column:
     """The two-letter code a label stands for (any case, with or without region, three letters, English name); else null."""
     base = F.lower(F.trim(F.regexp_replace(label, r"^\s+|\s+$", "")))
@@ -78,32 +88,64 @@ def label_language(label: Column) -> Column:
     return out
 
 
-def _blank(m: re.Match) -> str:
-    return " " * (m.end() - m.start()) if _MARK.search(m[0]) else m[0]
-
-
-def _plain(text: str) -> str:
-    """The text without technical tokens (their dots end nothing) and without the characters that mark ends here."""
-    if "\x00" in text or "\x01" in text:
-        text = text.translate(_CONTROL)
-    return _TOKEN.sub(_blank, text) if _MARK.search(text) else text
+def _follows(code: np.ndarray, text: str) -> np.ndarray:
+    """Where ``text`` begins."""
+    hit = np.ones(len(code), bool)
+    for k, c in enumerate(text):
+        hit[: len(code) - k] &= code[k:] == ord(c)
+        hit[len(code) - k :] = False
+    return hit
+
+
+def _technical(code: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Characters of tokens (runs of printed ASCII characters) that no language is read from: settings, file names, numbers with units, addresses."""
+    letter, digit, small = (_LOWER | _UPPER)[kind], _DIGIT[kind], (_LOWER | _DIGIT)[kind]
+    mark = _SIGNS[kind] | _follows(code, "://") | _follows(code, "www.")
+    mark[:-1] |= (letter[:-1] & digit[1:]) | (digit[:-1] & letter[1:])
+    # A dot and two to four small letters or digits, after which the word ends.
+    dot = np.flatnonzero(code[:-1] == ord("."))
+    stop = np.append(np.flatnonzero(~small), len(code))
+    end = stop[np.searchsorted(stop, dot + 1)]
+    after = kind[np.minimum(end, len(code) - 1)]
+    mark[dot[(end - dot >= 3) & (end - dot <= 5) & ~(_UPPER[after] | (code[np.minimum(end, len(code) - 1)] == ord("_")))]] = True
+    printed = _PRINTED[kind]
+    first = printed & ~np.r_[False, printed[:-1]]
+    token = np.cumsum(first)  # of a printed character
+    return printed & (np.bincount(token[mark & printed], minlength=int(token[-1]) + 1) > 0)[token]
+
+
+def _ends(code: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Positions behind the sentences: behind a run of full stops and closing quotes that a blank, an end or another script follows (anything, if
+    the script is written without blanks), and behind line ends."""
+    wide = np.isin(code, _FULL_STOPS)
+    stop = _STOP[kind] | wide | (code == ord("…"))
+    run = stop | _CLOSE[kind] | (code == ord("”")) | (code == ord("’"))
+    edge = np.diff(np.r_[0, run.astype(np.int8), 0])
+    a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    stops, wides = np.r_[0, np.cumsum(stop)], np.r_[0, np.cumsum(wide)]
+    ends = b[(stops[b] > stops[a]) & (_SPACE[kind[np.minimum(b, len(kind) - 1)]] | (wides[b] > wides[a]))]
+    return np.unique(np.r_[ends, np.flatnonzero(code == ord("\n")) + 1])
 
 
 def split(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
     """``(units, text, begin, end)`` of all sentences of some texts, one after another.
 
-    Sentences end at a full stop, its kin, or a line end. ``units`` are their words (runs of letters in one case and Unicode form), each
-    sentence followed by a mark; ``begin`` and ``end`` are its characters in the text.
+    Sentences end at a full stop, its kin, or a line end; in technical tokens nothing ends and no word is read. ``units`` are their words (runs of
+    letters in one case and Unicode form), each sentence followed by a mark; ``begin`` and ``end`` are its characters in the text.
     """
-    sizes = np.array([len(t) for t in texts], np.int64)
-    big = "\x00".join(map(_plain, texts)) + "\x00"
-    big = _END.sub("\\g<0>\x01", big)
-    code = np.frombuffer(big.encode("utf-32-le", "surrogatepass"), np.uint32)
-    mark = np.flatnonzero(code <= 1)
-    last = code[mark] == 0
-    text = np.cumsum(last) - last
-    end = mark - (np.cumsum(~last) - ~last) - (np.cumsum(sizes + 1) - sizes - 1)[text]
-    begin = np.where(np.r_[True, last[:-1]], 0, np.r_[0, end[:-1]])
+    big = "\x00".join([t.translate(_CONTROL) if "\x00" in t or "\x01" in t else t for t in texts]) + "\x00"
+    code = np.frombuffer(big.encode("utf-32-le", "surrogatepass"), np.uint32).copy()
+    kind = np.minimum(code, 128)
+    blank = _technical(code, kind)
+    code[blank], kind[blank] = ord(" "), ord(" ")
+    ends, last = _ends(code, kind), np.flatnonzero(code == 0)
+    at = np.r_[ends, last]
+    order = np.lexsort((np.arange(len(at)) >= len(ends), at))
+    at, closes = at[order], order >= len(ends)
+    text = np.cumsum(closes) - closes
+    end = at - np.r_[0, last[:-1] + 1][text]
+    begin = np.where(np.r_[True, closes[:-1]], 0, np.r_[0, end[:-1]])
+    big = np.insert(code, ends, 1).tobytes().decode("utf-32-le", "surrogatepass")
     units = _UNIT.findall(big.lower() if big.isascii() else unicodedata.normalize("NFKC", big).casefold())
     return units, text, begin, end
 
@@ -299,11 +341,11 @@ class Scorer:
         """The rows of the table that hold the units."""
         if len(self.seen) > MEMORY:
             self._forget()
-        rows = list(map(self.seen.get, units))
-        if None in rows:
-            self._learn([w for w in dict.fromkeys(units) if w not in self.seen])
-            rows = list(map(self.seen.get, units))
-        return np.array(rows, np.int64)
+        codes, distinct = pd.factorize(np.array(units, object))
+        new = [w for w in distinct if w not in self.seen]
+        if new:
+            self._learn(new)
+        return np.fromiter(map(self.seen.__getitem__, distinct), np.int64, len(distinct))[codes]
 
     def words(self, sentences_: list[list[str]]) -> np.ndarray:
         """Log probabilities of sentences (each with a word or more), per language."""
