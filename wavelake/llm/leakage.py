@@ -328,7 +328,6 @@ class Search:
         for j, w in enumerate(it.words):
             self.has[w, j] = 1
             self.padded[j, : len(w)] = w
-        self.listed = np.concatenate([self.has, np.zeros((1, len(it.words)), np.uint8)]).astype(np.int32)  # a word of no item is -1, the last row
         self.queries = [_unit(np.array([self.space[p].sum(0) for p in of])).astype(np.float32) for of in it.passages()]
         self.bounds = []
         for wide in it.answers():
@@ -357,43 +356,56 @@ class Search:
         keep = near | (cos >= self.cosine) if self.paraphrases else near
         return at[i[keep]], j[keep], cos[keep]
 
+    def _held(self, p: Passages, docs: np.ndarray) -> np.ndarray:
+        """How many words of every item stand before each half, counting some documents only."""
+        mine = np.zeros(len(p.docs), bool)
+        mine[docs] = True
+        keep = mine[p.doc_of[p.half]]
+        half, term = p.half[keep], p.term[keep]
+        out = np.zeros((p.size + 1, self.has.shape[1]), np.int32)
+        if len(half):
+            at = np.flatnonzero(np.r_[True, half[1:] != half[:-1]])
+            out[half[at] + 1] = np.add.reduceat(self.has[term], at, axis=0)
+        return np.cumsum(out, axis=0, out=out)
+
     def batch(self, doc_ids: np.ndarray, packed: list[bytes]) -> list[tuple]:
         p = Passages(packed)
         half, item, cos = self.pairs(p)
         order = np.argsort(self.lengths[item], kind="stable")  # items of like length share a step
         half, item, cos = half[order], item[order], cos[order]
+        hit, answer = np.zeros(len(item), bool), np.zeros(len(item), bool)
+        for k in range(0, len(item), 5_000):
+            at = slice(k, k + 5_000)
+            run, sub = bulk_checks(p.texts(half[at]), self.padded[item[at], : self.lengths[item[at]].max()])
+            answer[at] = run >= self.answer[item[at]]
+            hit[at] = answer[at] | (sub >= self.share * self.answer[item[at]])
+        if self.paraphrases:
+            # Around a paraphrase the halves that its stretch touches hold words of the item as often as all of it needs.
+            held = self._held(p, p.doc_of[half[hit & ~answer]])
+            first = np.searchsorted(p.doc_of, np.arange(len(p.docs) + 1))
+            d, reach = p.doc_of[half], -(-self.lengths[item] // STRIDE)
+            lo, hi = np.maximum(half - reach, first[d]), np.minimum(half + 2 + reach, first[d + 1])
+            hit &= answer | (held[hi, item] - held[lo, item] >= PARAPHRASE * self.lengths[item])
+        else:
+            hit &= answer
         best: dict[tuple[int, int], tuple[bool, float, int]] = {}
         hits: dict[tuple[int, int], list[int]] = {}
-        for k in range(0, len(item), 5_000):
-            h, j, c = half[k : k + 5_000], item[k : k + 5_000], cos[k : k + 5_000]
-            run, sub = bulk_checks(p.texts(h), self.padded[j, : self.lengths[j].max()])
-            answer = run >= self.answer[j]
-            hit = answer | (sub >= self.share * self.answer[j])
-            for d, j_, c_, h_, r in zip(p.doc_of[h][hit].tolist(), j[hit].tolist(), c[hit].tolist(), h[hit].tolist(), answer[hit].tolist()):
-                if (d, j_) not in best or (r, c_) > best[d, j_][:2]:
-                    best[d, j_] = (r, c_, h_)
-                hits.setdefault((d, j_), []).append(h_)
+        for d, j, c, h, r in zip(p.doc_of[half[hit]].tolist(), item[hit].tolist(), cos[hit].tolist(), half[hit].tolist(), answer[hit].tolist()):
+            if (d, j) not in best or (r, c) > best[d, j][:2]:
+                best[d, j] = (r, c, h)
+            hits.setdefault((d, j), []).append(h)
         first = np.searchsorted(p.doc_of, np.arange(len(p.docs)))
         out = []
-        for (d, j), (answer, c, h) in best.items():
-            if not (answer or self.paraphrases):
-                continue
+        for (d, j), (answered, c, h) in best.items():
             w, doc = self.words[j], p.docs[d]
-            starts = np.array([h] if answer else hits[d, j]) * STRIDE - first[d] * STRIDE
-            if not answer:
-                # Only stretches that hold words of the item as often as a paraphrase of all of it needs.
-                inside = np.r_[0, np.cumsum(self.listed[doc, j])]
-                lo, hi = np.maximum(starts - len(w), 0), np.minimum(starts + 2 * STRIDE + len(w), len(doc))
-                starts = starts[inside[hi] - inside[lo] >= PARAPHRASE * len(w)]
-                if not len(starts):
-                    continue
+            starts = np.array([h] if answered else hits[d, j]) * STRIDE - first[d] * STRIDE
             near = stretches(doc, starts.tolist(), len(w))
             sub = 0
-            for x, most in zip(near, [len(w)] if answer else shared(near, w)):
+            for x, most in zip(near, [len(w)] if answered else shared(near, w)):
                 # Stretches with too few words of the item for a paraphrase of all of it, or for a longer one, are not searched.
-                if most > sub and (answer or most >= PARAPHRASE * len(w)):
+                if most > sub and (answered or most >= PARAPHRASE * len(w)):
                     sub = max(sub, common_subsequence(x, w))
-            if answer or sub >= PARAPHRASE * len(w):
+            if answered or sub >= PARAPHRASE * len(w):
                 out.append((self.ids[j], doc_ids[d], c, longest_run(doc, w), sub, len(w)))
         return out
 
