@@ -17,17 +17,26 @@ from wavelake.sources.manifest import entry, write_manifest
 from wavelake.sources.wav import load_segment, probe, read_frames, write_wav
 
 NAN = math.nan
-RATE = 8000
-EVENTS = [("a.wav", "dog", 0.2, 1.4, 1.0), ("a.wav", "cat", 1.6, 1.9, NAN), ("a.wav", "cat", 2.2, 2.9, 1.0), ("b.wav", "cat", 0.0, 1.0, 1.0), ("c.wav", "dog", 0.5, 0.7, 1.0), ("c.wav", "cat", 2.0, 3.0, 1.0)]
+RATE = 6000
+# Two frogs and some birds on three recordings; one bird is uncertain and ends with its recording.
+SECONDS = {"reed": 2.25, "mill": 1.0, "dam": 4.0}
+EVENTS = [
+    ("dam.wav", "bird", 3.0, 4.0, NAN),
+    ("dam.wav", "frog", 0.4, 0.65, 1.0),
+    ("mill.wav", "bird", 0.0, 1.0, 1.0),
+    ("reed.wav", "frog", 0.3, 1.25, 1.0),
+    ("reed.wav", "bird", 1.5, 1.8, NAN),
+    ("reed.wav", "bird", 2.05, 2.2, 1.0),
+]
 
 
 @pytest.fixture(scope="module")
 def root(tmp_path_factory):
     d = tmp_path_factory.mktemp("set")
-    rng = np.random.default_rng(7)
-    for name, sec in (("a", 2.5), ("b", 1.0), ("c", 3.0)):
-        write_wav(str(d / f"{name}.wav"), rng.standard_normal(int(sec * RATE)) * 0.1, RATE)
-    write_manifest({"train": [entry("a.wav")], "validation": [entry("b.wav")], "test": [entry("c.wav")]}, str(d / "split.json"))
+    for k, (name, sec) in enumerate(SECONDS.items()):
+        t = np.arange(int(sec * RATE)) / RATE
+        write_wav(str(d / f"{name}.wav"), np.sin(2 * np.pi * (300 + 70 * k) * t) * (0.2 + 0.1 * k), RATE)
+    write_manifest({"train": [entry("reed.wav")], "validation": [entry("mill.wav")], "test": [entry("dam.wav")]}, str(d / "split.json"))
     return str(d)
 
 
@@ -37,9 +46,9 @@ def strong(spark):
 
 
 def weak(spark, kind):
-    rows = [("a.wav", ["dog", "cat"]), ("b.wav", ["cat"]), ("c.wav", ["dog"])] if kind == "multilabel" else [("a.wav", ["dog"]), ("b.wav", ["cat"]), ("c.wav", ["dog"])]
+    rows = [("reed.wav", ["frog", "bird"] if kind == "multilabel" else ["frog"]), ("mill.wav", ["bird"]), ("dam.wav", ["frog"])]
     w = spark.createDataFrame(rows, "audio_path string, classes array<string>")
-    return Annotation(kind, "weak", spark.createDataFrame([("cat",), ("dog",)], "class_name string"), weak=w)
+    return Annotation(kind, "weak", spark.createDataFrame([("bird",), ("frog",)], "class_name string"), weak=w)
 
 
 def settings(root, out, **more):
@@ -58,20 +67,20 @@ def test_raw_table(spark, root, tmp_path):
     c = settings(root, tmp_path / "raw")
     path = prepare_dataset(spark, c, weak(spark, "multiclass"))
     got = rows(spark, path)
-    assert sorted(got) == [("a.wav", 0), ("a.wav", 1), ("a.wav", 2), ("b.wav", 0), ("c.wav", 0), ("c.wav", 1), ("c.wav", 2)]
-    assert {k[0]: r["audio_id"] for k, r in got.items()} == {"a.wav": 0, "b.wav": 1, "c.wav": 2}
-    tail = got["a.wav", 2]
-    assert tail["valid_sec"] == 0.5 and tail["end"] == 2.5 and len(tail["raw"]) == RATE and not any(tail["raw"][RATE // 2 :])
+    assert sorted(got) == [("dam.wav", 0), ("dam.wav", 1), ("dam.wav", 2), ("dam.wav", 3), ("mill.wav", 0), ("reed.wav", 0), ("reed.wav", 1), ("reed.wav", 2)]
+    assert {k[0]: r["audio_id"] for k, r in got.items()} == {"dam.wav": 0, "mill.wav": 1, "reed.wav": 2}
+    tail = got["reed.wav", 2]
+    assert tail["valid_sec"] == 0.25 and tail["end"] == 2.25 and len(tail["raw"]) == RATE and any(tail["raw"]) and not any(tail["raw"][RATE // 4 :])
     # At its own rate a recording is read sample by sample.
-    assert np.array_equal(np.array(got["a.wav", 1]["raw"], np.float32), read_frames(f"{root}/a.wav", RATE, RATE)[0])
-    assert {k: r["label"] for k, r in got.items() if k[1] == 0} == {("a.wav", 0): 1, ("b.wav", 0): 0, ("c.wav", 0): 1}
-    assert json.load(open(f"{path}/label_index.json")) == {"cat": 0, "dog": 1}
+    assert np.array_equal(np.array(got["reed.wav", 1]["raw"], np.float32), read_frames(f"{root}/reed.wav", RATE, RATE)[0])
+    assert {k: r["label"] for k, r in got.items() if k[1] == 0} == {("reed.wav", 0): 1, ("mill.wav", 0): 0, ("dam.wav", 0): 1}
+    assert json.load(open(f"{path}/label_index.json")) == {"bird": 0, "frog": 1}
     # The same settings keep it, others are an error, overwriting builds again.
     assert prepare_dataset(spark, c, weak(spark, "multiclass")) == path
     with pytest.raises(ValueError):
         prepare_dataset(spark, settings(root, tmp_path / "raw", tol_sec=0.6), weak(spark, "multiclass"))
     prepare_dataset(spark, settings(root, tmp_path / "raw", tol_sec=0.6, overwrite=True), weak(spark, "multiclass"))
-    assert ("a.wav", 2) not in rows(spark, path)
+    assert ("reed.wav", 2) not in rows(spark, path)
     os.remove(f"{path}/prep_config.json")
     with pytest.raises(ValueError):
         prepare_dataset(spark, c, weak(spark, "multiclass"))
@@ -79,26 +88,32 @@ def test_raw_table(spark, root, tmp_path):
 
 def test_labels_of_every_kind(spark, root, tmp_path):
     got = rows(spark, prepare_dataset(spark, settings(root, tmp_path / "m"), weak(spark, "multilabel")))
-    assert got["a.wav", 0]["label"] == [1, 1] and got["b.wav", 0]["label"] == [1, 0]
+    assert got["reed.wav", 0]["label"] == [1, 1] and got["mill.wav", 0]["label"] == [1, 0] and got["dam.wav", 3]["label"] == [0, 1]
     got = rows(spark, prepare_dataset(spark, settings(root, tmp_path / "w"), strong(spark)))
-    assert states(got["a.wav", 0]["label"]) == [0, 1] and states(got["a.wav", 1]["label"]) == ["?", 1] and states(got["a.wav", 2]["label"]) == [1, 0] and states(got["c.wav", 1]["label"]) == [0, 0]
+    assert {k: states(r["label"]) for k, r in got.items()} == {
+        ("reed.wav", 0): [0, 1], ("reed.wav", 1): ["?", 1], ("reed.wav", 2): [1, 0], ("mill.wav", 0): [1, 0],
+        ("dam.wav", 0): [0, 1], ("dam.wav", 1): [0, 0], ("dam.wav", 2): [0, 0], ("dam.wav", 3): ["?", 0],
+    }
     got = rows(spark, prepare_dataset(spark, settings(root, tmp_path / "s", label_type="strong"), strong(spark)))
-    e = got["a.wav", 1]["label"]
-    assert [(x["target"], round(x["start"], 6), round(x["end"], 6)) for x in e] == [(1, 0.0, 0.4), (0, 0.6, 0.9)] and math.isnan(e[1]["value"])
-    assert got["c.wav", 1]["label"] == []
+    e = got["reed.wav", 1]["label"]
+    assert [(x["target"], round(x["start"], 6), round(x["end"], 6)) for x in e] == [(1, 0.0, 0.25), (0, 0.5, 0.8)] and math.isnan(e[1]["value"])
+    assert got["dam.wav", 1]["label"] == []
 
 
 def test_errors_before_anything_is_built(spark, root, tmp_path):
     with pytest.raises(ValueError, match="weak labels only"):
         prepare_dataset(spark, settings(root, tmp_path / "x", label_type="strong"), weak(spark, "multilabel"))
     a = weak(spark, "multiclass")
-    part = Annotation("multiclass", "weak", a.classes, weak=a.weak.where("audio_path <> 'b.wav'"))
-    with pytest.raises(ValueError, match="b.wav"):
+    part = Annotation("multiclass", "weak", a.classes, weak=a.weak.where("audio_path <> 'mill.wav'"))
+    with pytest.raises(ValueError, match="mill.wav"):
         prepare_dataset(spark, settings(root, tmp_path / "y"), part)
+    heard = Annotation("multilabel", "strong", strong(spark).classes, events=strong(spark).events, annotated=a.weak.select("audio_path").where("audio_path <> 'dam.wav'"))
+    with pytest.raises(ValueError, match="dam.wav"):
+        prepare_dataset(spark, settings(root, tmp_path / "h"), heard)
     twice = Annotation("multiclass", "weak", a.classes.unionAll(a.classes), weak=a.weak)
     with pytest.raises(ValueError, match="twice"):
         prepare_dataset(spark, settings(root, tmp_path / "z"), twice)
-    write_manifest({"train": [entry("a.wav")], "validation": [entry("b.wav")], "test": [entry("c.wav", 5.0, 6.0)]}, str(tmp_path / "s.json"))
+    write_manifest({"train": [entry("reed.wav")], "validation": [entry("mill.wav")], "test": [entry("dam.wav", 5.0, 6.0)]}, str(tmp_path / "s.json"))
     with pytest.raises(ValueError, match="without a segment"):
         prepare_dataset(spark, cf.resolve_prep("toy", root, str(tmp_path / "v"), str(tmp_path / "s.json"), sr=RATE), weak(spark, "multiclass"))
     with pytest.raises(ValueError):
@@ -118,16 +133,17 @@ def test_embeddings(spark, root, tmp_path, granularity):
     got, src = rows(spark, path), rows(spark, raw)
     for k, r in got.items():
         assert all(r[x] == src[k][x] for x in ("audio_id", "start", "end", "valid_sec"))
-    tail = got["a.wav", 2]
+    tail = got["reed.wav", 2]
     if granularity == "clip":
-        assert len(tail["embedding"]) == 4 and abs(tail["embedding"][1] - 0.5) < 1e-6
-        assert states(got["a.wav", 1]["label"]) == ["?", 1]
+        assert len(tail["embedding"]) == 4 and abs(tail["embedding"][1] - 0.25) < 1e-6
+        assert states(got["reed.wav", 1]["label"]) == ["?", 1]
     else:
-        assert len(tail["embedding"]) == 4 and tail["valid_mask"] == [True, True, False, False]
-        assert tail["embedding"][2] == [0, 0, 0, 0] and tail["geometry"][1] == [0.25, 0.5] and tail["geometry"][3] == [0, 0]
-        assert [states(x) for x in got["a.wav", 0]["label"]] == [[0, 1]] * 4
-        assert [states(x) for x in got["b.wav", 0]["label"]] == [[1, 0]] * 4
+        assert len(tail["embedding"]) == 4 and tail["valid_mask"] == [True, False, False, False]
+        assert tail["embedding"][1] == [0, 0, 0, 0] and tail["geometry"][0] == [0, 0.25] and tail["geometry"][3] == [0, 0]
+        assert [states(x) for x in got["reed.wav", 0]["label"]] == [[0, 0], [0, 1], [0, 1], [0, 1]]
+        assert [states(x) for x in got["mill.wav", 0]["label"]] == [[1, 0]] * 4
     # However the rows are laid out, the results are the same.
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000"
     again = prepare_embeddings(spark, cf.resolve_emb(spark, raw, "checksum", granularity, str(tmp_path / "other"), batch_size=1))
     assert {k: r["embedding"] for k, r in rows(spark, again).items()} == {k: r["embedding"] for k, r in got.items()}
 

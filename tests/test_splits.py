@@ -57,6 +57,18 @@ def test_greedy_covers_rare_classes():
     assert splits.greedy_duration_split([]) == {"train": [], "validation": [], "test": []}
 
 
+def test_greedy_choices():
+    # y is the rarer class, so b goes first, to training; of x validation and test lack more then, and equal needs go to the earlier split.
+    assert splits.greedy_duration_split([("a", frozenset("x"), 1.0), ("b", frozenset("xy"), 4.0), ("c", frozenset(), 9.0)]) == {"train": ["b", "c"], "validation": ["a"], "test": []}
+    lack = splits.Lack([frozenset("xy"), frozenset("y")], [2.0, 3.0], (0.5, 0.25, 0.25))
+    assert lack.rarity == {"x": 0, "y": 1} and lack.open.tolist() == [[1.0, 0.5, 0.5], [2.5, 1.25, 1.25], [2.5, 1.25, 1.25]]
+    lack.take([0, 1], 0, 2.0)
+    assert lack.neediest([0]) == 1 and lack.neediest([1]) == 1 and lack.neediest([]) == 1
+    place = {"a": "train", "b": "train", "c": "train"}
+    splits.represent(place, [("a", frozenset("xy"), 1.0), ("b", frozenset("x"), 5.0), ("c", frozenset("x"), 4.0)])
+    assert place == {"a": "train", "b": "test", "c": "validation"}
+
+
 def test_folds_and_names(spark):
     df = spark.createDataFrame([(1,), (2,)], "fold int")
     assert [r[0] for r in df.select(splits.fold_split(F.col("fold"), {1: "train", 2: "test"})).collect()] == ["train", "test"]

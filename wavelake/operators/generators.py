@@ -56,7 +56,12 @@ def fsd50k(spark: SparkSession, root: str, longest: float = 30.0) -> DataFrame:
     ev = read_table(spark, f"{root}/FSD50K.ground_truth/eval.csv").select(F.lit("test").alias("split"), F.concat(F.lit("FSD50K.eval_audio/"), "fname", F.lit(".wav")).alias("audio_path"))
     disk = list_wavs(spark, root, "FSD50K.dev_audio").unionByName(list_wavs(spark, root, "FSD50K.eval_audio"))
     have = existing(rows.unionByName(ev), disk)
-    return have.join(durations(have, root), "audio_path").where(F.col("duration") <= longest).select("split", "audio_path")
+    return up_to(have.join(durations(have, root), "audio_path"), longest).select("split", "audio_path")
+
+
+def up_to(timed: DataFrame, longest: float) -> DataFrame:
+    """The recordings whose ``duration`` is not over ``longest``."""
+    return timed.where(F.col("duration") <= longest)
 
 
 @generator("FSDnoisy18k")

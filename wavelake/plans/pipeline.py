@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,7 @@ from wavelake.operators.segments import empty_regions, plan_segments
 from wavelake.operators.splits import SPLITS
 from wavelake.plans.config import EMB_MARKER, LABELS, RAW_MARKER, EmbConfig, PrepConfig
 from wavelake.plans.storage import Folder, decide
+from wavelake.session import cut
 from wavelake.sources.annotations import Annotation, load_annotation, video_key
 from wavelake.sources.manifest import read_manifest
 from wavelake.sources.wav import decode, durations, list_array, raw_type
@@ -61,16 +63,26 @@ def _index_df(spark: SparkSession, index: dict[str, int]) -> DataFrame:
     return spark.createDataFrame(sorted(index.items()), "class_name string, target bigint")
 
 
-def weak_labels(entries: DataFrame, a: Annotation, index: DataFrame, mode: str, classes: int, by_video: bool) -> DataFrame:
-    """``audio_path, label`` of every entry; entries without an annotation are an error that names the first of them."""
+def unannotated(entries: DataFrame, annotated: DataFrame, by_video: bool = False) -> DataFrame:
+    """``audio_path`` of the entries without an annotation, each once; with ``by_video`` annotations are keyed by video."""
     key = video_key(F.col("audio_path")) if by_video else F.col("audio_path")
-    want = entries.select("audio_path").distinct().withColumn("_key", key)
-    each = a.weak.select(F.col("audio_path").alias("_key"), F.explode("classes").alias("class_name")).join(F.broadcast(index), "class_name")  # at most MAX_CLASSES rows
-    idx = each.groupBy("_key").agg(F.array_sort(F.collect_list("target")).alias("idx"))
-    got = want.join(a.weak.select(F.col("audio_path").alias("_key")).distinct().withColumn("_has", F.lit(True)), "_key", "left").join(idx, "_key", "left")
-    missing = [r[0] for r in got.where("_has is null").select("audio_path").orderBy("audio_path").limit(5).collect()]
+    return entries.select("audio_path").distinct().withColumn("_key", key).join(annotated.select(F.col("audio_path").alias("_key")), "_key", "left_anti").select("audio_path")
+
+
+def need_annotations(entries: DataFrame, annotated: DataFrame, by_video: bool = False) -> None:
+    """An error that names the first five entries without annotation, if there are any."""
+    missing = [r[0] for r in unannotated(entries, annotated, by_video).orderBy("audio_path").limit(5).collect()]
     if missing:
         raise ValueError(f"entries without annotation: {missing}")
+
+
+def weak_labels(entries: DataFrame, a: Annotation, index: DataFrame, mode: str, classes: int, by_video: bool = False) -> DataFrame:
+    """``audio_path, label`` of every entry that is annotated (see ``need_annotations``)."""
+    key = video_key(F.col("audio_path")) if by_video else F.col("audio_path")
+    want = entries.select("audio_path").distinct().withColumn("_key", key)
+    each = a.weak.select(F.col("audio_path").alias("_key"), F.explode("classes").alias("class_name")).join(F.broadcast(index), "class_name")  # at most MAX_CLASSES rows
+    idx = each.groupBy("_key").agg(F.array_sort(F.collect_list("target")).alias("idx"))  # the labels of one recording
+    got = want.join(a.weak.select(F.col("audio_path").alias("_key")).distinct(), "_key").join(idx, "_key", "left")
     label = F.get("idx", 0) if mode == "multiclass" else lab.multihot(F.col("idx"), classes)
     return got.select("audio_path", label.alias("label"))
 
@@ -86,6 +98,18 @@ def strong_labels(segments: DataFrame, a: Annotation, index: DataFrame, mode: st
     return out if mode == "strong" else out.withColumn("label", lab.tri_state(F.col("label"), classes))
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of so many rows while something is written; the session's setting holds again afterwards."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def prepare_dataset(spark: SparkSession, cfg: PrepConfig, annotation: Annotation | None = None) -> str:
     """Builds the table of segments and returns its folder; a complete one with the same settings is kept."""
     folder = Folder(spark, cfg.cache_dir)
@@ -102,25 +126,29 @@ def prepare_dataset(spark: SparkSession, cfg: PrepConfig, annotation: Annotation
         if s not in have:
             raise ValueError(f"split {s} is empty")
     ids = global_rank(entries, "audio_path", "audio_id")
-    timed = entries.join(durations(entries, cfg.dataset_dir), "audio_path")
+    timed = cut(entries.join(durations(entries, cfg.dataset_dir), "audio_path"))  # heads of files are read once
     span = (F.col("start"), F.col("end"), F.col("duration"))
     none = empty_regions(timed, *span).limit(5).collect()
     if none:
         raise ValueError(f"entries without a segment: {[r['audio_path'] for r in none]}")
     seg = plan_segments(timed, *span, cfg.seg_sec, cfg.hop_sec, cfg.tol_sec).join(ids, "audio_path")
     seg = seg.select("split", "entry_idx", "audio_path", "audio_id", "segment_id", "seg_start", "seg_end", "valid_sec")
+    by_video = cfg.dataset_name == "AudioSetWeak"
+    known = a.annotated if a.weak is None else a.weak
+    if known is not None:
+        need_annotations(entries, known, by_video)
     if mode in ("strong", "strong_to_weak"):
         seg = strong_labels(seg, a, index_df, mode, len(index))
     else:
-        seg = seg.join(weak_labels(entries, a, index_df, mode, len(index), cfg.dataset_name == "AudioSetWeak"), "audio_path")
+        seg = seg.join(weak_labels(entries, a, index_df, mode, len(index), by_video), "audio_path")
     seg = seg.select("split", "entry_idx", "audio_path", "audio_id", "segment_id", F.lit(cfg.sr).cast("bigint").alias("sr"), F.col("seg_start").alias("start"), F.col("seg_end").alias("end"), "valid_sec", "label")
     order = ["split", "entry_idx", "audio_path", "audio_id", "segment_id", "raw", "sr", "start", "end", "valid_sec", "label"]
     kinds = {f.name: f.dataType for f in seg.schema.fields} | {"raw": T.StructType.fromDDL(f"x {raw_type(cfg.mono)}")["x"].dataType}
     schema = T.StructType([T.StructField(c, kinds[c]) for c in order])
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", cfg.batch_size)
     # A recording's segments stay together, so its file is opened in one place.
     rows = decode(seg.repartition("audio_path", (F.col("segment_id") / 64).cast("int")), cfg.dataset_dir, cfg.sr, cfg.mono, round(cfg.seg_sec * cfg.sr), schema)
-    rows.write.partitionBy("split").parquet(f"{folder.path}/{ROWS}")
+    with batches_of(spark, cfg.batch_size):
+        rows.write.partitionBy("split").parquet(f"{folder.path}/{ROWS}")
     folder.write_json(LABELS, index)
     folder.write_json(RAW_MARKER, cfg.sidecar() | {"out_mode": mode, "num_classes": len(index)})
     return folder.path
@@ -199,8 +227,8 @@ def prepare_embeddings(spark: SparkSession, cfg: EmbConfig) -> str:
             yield pa.RecordBatch.from_arrays([cols[f.name].cast(f.type) for f in arrow], schema=arrow)
 
     arrow = to_arrow_schema(schema)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", cfg.batch_size)
-    df.select(*kept, "raw", "label").sortWithinPartitions("valid_sec").mapInArrow(run, schema).write.partitionBy("split").parquet(f"{folder.path}/{ROWS}")
+    with batches_of(spark, cfg.batch_size):
+        df.select(*kept, "raw", "label").sortWithinPartitions("valid_sec").mapInArrow(run, schema).write.partitionBy("split").parquet(f"{folder.path}/{ROWS}")
     raw.copy(LABELS, folder)
     folder.write_json(EMB_MARKER, cfg.sidecar())
     return folder.path
