@@ -158,6 +158,17 @@ def _shrink(m: np.ndarray, n: int) -> np.ndarray:
     return m[:, lo] * (1 - w) + m[:, hi] * w
 
 
+def standardise(x: np.ndarray) -> np.ndarray:
+    """Rows with mean 0 and variance 1, but for what 1e-7 adds to it."""
+    return (x - x.mean(-1, keepdims=True)) / np.sqrt(x.var(-1, keepdims=True) + 1e-7)
+
+
+def decibels(power: np.ndarray, depth: float) -> np.ndarray:
+    """Powers in dB (1e-10 at least), none more than ``depth`` below its row's peak."""
+    db = 10 * np.log10(np.maximum(power, 1e-10))
+    return np.maximum(db, db.max(tuple(range(1, db.ndim)), keepdims=True) - depth)
+
+
 class Waveform(FrontEnd):
     """The samples themselves, standardised over the valid prefix if wanted."""
 
@@ -172,10 +183,7 @@ class Waveform(FrontEnd):
         return samples
 
     def features(self, x):
-        if not self.standardise:
-            return x.astype(np.float32)
-        y = x.astype(np.float64)
-        return ((y - y.mean(-1, keepdims=True)) / np.sqrt(y.var(-1, keepdims=True) + 1e-7)).astype(np.float32)
+        return (standardise(x.astype(np.float64)) if self.standardise else x).astype(np.float32)
 
 
 class FlooredMel(FrontEnd):
@@ -188,8 +196,7 @@ class FlooredMel(FrontEnd):
 
     def features(self, x):
         x = dsp.fit_length(x, max(513, x.shape[-1])).astype(np.float64)
-        db = 10 * np.log10(np.maximum(dsp.power_spectrum(x, 1024, 160) @ dsp.mel_bank(16_000, 1024, 64, 60.0, 7800.0, "htk").T, 1e-10))
-        db = np.maximum(db, db.max((1, 2), keepdims=True) - 80.0)
+        db = decibels(dsp.power_spectrum(x, 1024, 160) @ dsp.mel_bank(16_000, 1024, 64, 60.0, 7800.0, "htk").T, 80.0)
         return ((db - self.LOW) / (self.HIGH - self.LOW) * 2 - 1).astype(np.float32)
 
 

@@ -19,6 +19,11 @@ def length_groups(lengths: np.ndarray) -> list[np.ndarray]:
     return [np.flatnonzero(lengths == n) for n in np.unique(lengths)]
 
 
+def max_mean(h: np.ndarray) -> np.ndarray:
+    """Maximum and mean over time, added up."""
+    return h.max(1) + h.mean(1)
+
+
 def frame_grid(frames: int, step: float, valid_frames: int, valid_seconds: float) -> np.ndarray:
     """(frames, 2) in single precision: see ``operators.geometry.frame_geometry``."""
     v = np.float32(valid_seconds)
@@ -104,7 +109,7 @@ class ConvNet(Encoder):
         framewise = L.relu(L.linear(self.p, "fc", L.pool3(h, "max") + L.pool3(h, "mean"), self.dim))
         if self.pooling == "decision_level_max":
             return framewise.max(1), framewise
-        return L.relu(L.linear(self.p, "fc", h.max(1) + h.mean(1), self.dim)), framewise
+        return L.relu(L.linear(self.p, "fc", max_mean(h), self.dim)), framewise
 
 
 class PatchTransformer(Encoder):

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavelake.session import table
+from wavelake.sources.manifest import entry_path
 
 SEG = 10.0
 
@@ -39,7 +40,7 @@ def entries(spark: SparkSession, d: str) -> DataFrame:
     """``entry_id, dataset, split, entry_idx, audio_path, start, end``: each entry once, its path with forward slashes."""
     e = table(spark, d, "split_entries").groupBy("entry_id").agg(F.max(F.struct("received_at", "dataset", "split", "entry_idx", "audio_path", "start", "end")).alias("x"))
     e = e.select("entry_id", "x.dataset", "x.split", "x.entry_idx", "x.audio_path", "x.start", "x.end")
-    return e.withColumn("audio_path", F.regexp_replace(F.regexp_replace("audio_path", r"\\", "/"), "^/+", ""))
+    return e.withColumn("audio_path", entry_path(F.col("audio_path")))
 
 
 ENT = """ent AS (

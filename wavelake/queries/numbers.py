@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wavelake.functions.frontends import decibels, standardise
+from wavelake.models.encoders import length_groups, max_mean
 from wavelake.operators import geometry as g
 from wavelake.queries.base import REC, SEGS
 from wavelake.queries.timeline import segments
@@ -92,6 +98,18 @@ _VEC = "vec AS (SELECT vec_id, (vec_id % 64 + 1)::INT AS n, embedding::DOUBLE[]
 _LONG = f"{_VEC}, long AS (SELECT vec_id, n, unnest(range(0, 64)) AS i, unnest(x) AS v FROM vec)"
 
 
+def _over_vectors(spark: SparkSession, d: str, f: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+    """``vec_id, i, v``: the numbers of ``f`` over batches of vectors (rows x 64, lengths of the valid parts)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf):
+                y = f(np.vstack(pdf["x"].to_numpy()), pdf["n"].to_numpy())
+                yield pd.DataFrame({"vec_id": np.repeat(pdf["vec_id"].to_numpy(), y.shape[1]), "i": np.tile(np.arange(y.shape[1]), len(y)), "v": y.reshape(-1)})
+
+    return _vectors(spark, d).mapInPandas(run, "vec_id bigint, i bigint, v double")
+
+
 def _long(df: DataFrame, value: Column, name: str = "v") -> DataFrame:
     return df.select("vec_id", F.posexplode(value).alias("i", name)).withColumn("i", F.col("i").cast("bigint"))
 
@@ -101,12 +119,15 @@ def _long(df: DataFrame, value: Column, name: str = "v") -> DataFrame:
 SELECT vec_id, i, round(CASE WHEN i < n THEN (v - m) / sqrt(greatest(q - m * m, 0) + 1e-7) ELSE 0 END, 5) + 0.0 AS v FROM long JOIN s USING (vec_id)"""
 )
 def q38_standardise_prefix(spark: SparkSession, d: str) -> DataFrame:
-    head = F.slice("x", F.lit(1), F.col("n"))
-    add = lambda f: F.aggregate(head, F.lit(0.0), lambda a, y: a + f(y)) / F.col("n")
-    s = _vectors(spark, d).withColumn("m", add(lambda y: y)).withColumn("q", add(lambda y: y * y))
-    dev = F.sqrt(F.greatest(F.col("q") - F.col("m") * F.col("m"), F.lit(0.0)) + F.lit(1e-7))
-    z = F.transform("x", lambda y, i: F.round(F.when(i < F.col("n"), (y - F.col("m")) / dev).otherwise(0.0), 5) + 0.0)
-    return _long(s, z)
+    """The valid parts standardised, zeros behind them; rows of one length together, as the front ends and encoders do it."""
+
+    def each(x: np.ndarray, n: np.ndarray) -> np.ndarray:
+        out = np.zeros_like(x)
+        for pick in length_groups(n):
+            out[pick, : n[pick[0]]] = standardise(x[pick, : n[pick[0]]])
+        return np.round(out, 5) + 0.0
+
+    return _over_vectors(spark, d, each)
 
 
 @query(
@@ -114,8 +135,7 @@ def q38_standardise_prefix(spark: SparkSession, d: str) -> DataFrame:
 SELECT vec_id, i, round(greatest(v, max(v) OVER (PARTITION BY vec_id) - 20.0), 6) AS v FROM db"""
 )
 def q39_top_db_floor(spark: SparkSession, d: str) -> DataFrame:
-    db = _vectors(spark, d).withColumn("db", F.transform("x", lambda y: F.lit(10.0) * F.log10(F.greatest(y * y, F.lit(1e-10))))).withColumn("top", F.array_max("db"))
-    return _long(db, F.transform("db", lambda y: F.round(F.greatest(y, F.col("top") - 20.0), 6)))
+    return _over_vectors(spark, d, lambda x, n: np.round(decibels(x * x, 20.0), 6))
 
 
 @query(f"WITH {_LONG}, s AS (SELECT vec_id, sqrt(sum(v * v)) AS l FROM long GROUP BY vec_id) SELECT vec_id, i, round(v / l, 6) + 0.0 AS v FROM long JOIN s USING (vec_id) WHERE l > 0")
@@ -126,14 +146,28 @@ def q40_l2_normalise(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {_LONG} SELECT vec_id, round(avg(v), 6) + 0.0 AS mean, round(max(v) + avg(v), 6) + 0.0 AS max_mean, max(v) AS top FROM long WHERE i < n GROUP BY vec_id")
 def q41_pooling(spark: SparkSession, d: str) -> DataFrame:
-    head = F.slice("x", F.lit(1), F.col("n"))
-    mean = F.aggregate(head, F.lit(0.0), lambda a, y: a + y) / F.col("n")
-    return _vectors(spark, d).select("vec_id", (F.round(mean, 6) + 0.0).alias("mean"), (F.round(F.array_max(head) + mean, 6) + 0.0).alias("max_mean"), F.array_max(head).alias("top"))
+    """Pooled valid parts, rows of one length together."""
+
+    def each(x: np.ndarray, n: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(x), 3))
+        for pick in length_groups(n):
+            h = x[pick, : n[pick[0]], None]
+            out[pick] = np.concatenate([np.round(h.mean(1), 6), np.round(max_mean(h), 6), h.max(1)], 1)
+        return out + 0.0
+
+    g = _over_vectors(spark, d, each).groupBy("vec_id").pivot("i", [0, 1, 2]).agg(F.first("v"))
+    return g.select("vec_id", F.col("0").alias("mean"), F.col("1").alias("max_mean"), F.col("2").alias("top"))
 
 
 @query("SELECT vec_id % 64 + 1 AS n, count(*) AS n_rows FROM embeddings GROUP BY 1")
 def q42_length_groups(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "embeddings").groupBy((F.col("vec_id") % 64 + 1).alias("n")).agg(F.count(F.lit(1)).alias("n_rows"))
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            n = pdf["vec_id"].to_numpy() % 64 + 1
+            groups = length_groups(n)
+            yield pd.DataFrame({"n": [n[g[0]] for g in groups], "k": [len(g) for g in groups]})
+
+    return table(spark, d, "embeddings").select("vec_id").mapInPandas(run, "n bigint, k bigint").groupBy("n").agg(F.sum("k").alias("n_rows"))
 
 
 @query(f"WITH {_LONG} SELECT vec_id, count(*) FILTER (WHERE i < n) AS n_valid, 80 - count(*) FILTER (WHERE i < n) AS n_padding FROM long GROUP BY vec_id")

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavelake.operators import geometry, labels, ranks, splits
-from wavelake.operators.segments import plan_segments
+from wavelake.models.encoders import frame_grid
+from wavelake.operators import generators, geometry, labels, ranks, splits
+from wavelake.operators.segments import empty_regions, plan_segments
+from wavelake.plans import pipeline
 from wavelake.queries.base import CACHE, ENT, EV, REC, SEG, SEGS, cache, entries, events, recordings
 from wavelake.session import table
+from wavelake.sources import annotations as an
+from wavelake.sources import files, manifest
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -57,15 +63,53 @@ def q04_label_index(spark: SparkSession, d: str) -> DataFrame:
     return ranks.global_rank(table(spark, d, "strong_events"), "class_name", "label_idx")
 
 
-@query(f"WITH {CACHE} SELECT row_id, audio_path, class_name FROM cache JOIN label_index USING (label_idx)")
+def _weak(spark: SparkSession, d: str) -> an.Annotation:
+    """Class names of the sounds of two datasets as an annotation: one per urbansound8k recording, several per fsd50k recording."""
+    names = table(spark, d, "label_index").select("label_idx", "class_name")
+    c = cache(spark, d)
+    one = c.where(F.col("label_idx").isNotNull()).groupBy("audio_path").agg(F.min("label_idx").alias("i")).select("audio_path", F.array("i").alias("i"))
+    several = c.where(F.size("label_idxs") > 0).groupBy("audio_path").agg(F.min("label_idxs").alias("i"))
+    each = one.unionByName(several).select("audio_path", F.explode(F.array_distinct(F.array_compact("i"))).alias("label_idx"))
+    named = an.named_codes(each, names, ["label_idx"], "class_name", "class_name", strict=False).where(F.col("class_name").isNotNull())
+    return an.Annotation("multilabel", "weak", names.select("class_name"), weak=named.groupBy("audio_path").agg(F.collect_set("class_name").alias("classes")))
+
+
+_WEAK = f"""{CACHE}, one AS (SELECT audio_path, [min(label_idx)] AS i FROM cache WHERE label_idx IS NOT NULL GROUP BY 1),
+several AS (SELECT audio_path, min(label_idxs) AS i FROM cache WHERE len(label_idxs) > 0 GROUP BY 1),
+each AS (SELECT DISTINCT audio_path, class_name FROM (SELECT audio_path, unnest(i) AS label_idx FROM (FROM one UNION ALL FROM several)) JOIN label_index USING (label_idx)),
+idx AS (SELECT class_name, row_number() OVER (ORDER BY class_name) - 1 AS target FROM label_index)"""
+
+
+@query(f"WITH {_WEAK} SELECT audio_path, min(target) AS label FROM each JOIN idx USING (class_name) WHERE audio_path LIKE 'audio/fold%' GROUP BY 1")
 def q05_weak_multiclass_join(spark: SparkSession, d: str) -> DataFrame:
-    return cache(spark, d).join(table(spark, d, "label_index"), "label_idx").select("row_id", "audio_path", "class_name")
+    """Recordings with one label: its class by rank."""
+    a = _weak(spark, d)
+    index = pipeline._index_df(spark, pipeline.class_index(a))
+    e = a.weak.where(F.col("audio_path").startswith("audio/fold"))
+    return pipeline.weak_labels(e, a, index, "multiclass", index.count())
+
 
+@query(f"""WITH {_WEAK} SELECT p AS audio_path, idx.target AS label_idx, CASE WHEN each.class_name IS NULL THEN 0.0 ELSE 1.0 END AS hot
+FROM (SELECT DISTINCT audio_path AS p FROM each WHERE audio_path LIKE 'FSD50K%') CROSS JOIN idx LEFT JOIN each ON each.audio_path = p AND each.class_name = idx.class_name""")
+def q48_weak_multilabel_join(spark: SparkSession, d: str) -> DataFrame:
+    """Recordings with several labels: every class, 1 where the recording has it."""
+    a = _weak(spark, d)
+    index = pipeline._index_df(spark, pipeline.class_index(a))
+    e = a.weak.where(F.col("audio_path").startswith("FSD50K"))
+    hot = pipeline.weak_labels(e, a, index, "multilabel", index.count())
+    return hot.select("audio_path", F.posexplode("label").alias("label_idx", "hot")).withColumns({"label_idx": F.col("label_idx").cast("bigint"), "hot": F.col("hot").cast("double")})
 
-@query(f"WITH {REC} SELECT dataset, audio_path FROM rec WHERE dataset IN ('hyenaset', 'datased') AND audio_path NOT IN (SELECT audio_path FROM strong_events)")
+
+@query(f"WITH {REC} SELECT audio_path FROM rec WHERE dataset IN ('hyenaset', 'datased') AND audio_path NOT IN (SELECT audio_path FROM strong_events)")
 def q06_missing_annotations(spark: SparkSession, d: str) -> DataFrame:
     r = recordings(spark, d).where(F.col("dataset").isin("hyenaset", "datased"))
-    return r.join(table(spark, d, "strong_events").select("audio_path"), "audio_path", "left_anti").select("dataset", "audio_path")
+    return pipeline.unannotated(r, table(spark, d, "strong_events"))
+
+
+@query(f"WITH {REC} SELECT audio_path FROM rec WHERE dataset = 'urbansound8k' AND audio_path NOT IN (SELECT audio_path FROM raw_cache WHERE audio_path IS NOT NULL) ORDER BY audio_path LIMIT 5")
+def q49_first_missing(spark: SparkSession, d: str) -> DataFrame:
+    r = recordings(spark, d).where(F.col("dataset") == "urbansound8k")
+    return pipeline.unannotated(r, table(spark, d, "raw_cache")).orderBy("audio_path").limit(5)
 
 
 @query(
@@ -99,21 +143,53 @@ def q09_strong_to_weak_code(spark: SparkSession, d: str) -> DataFrame:
     return labels.weak_codes(_clipped(spark, d), ["audio_path", "segment_id", "class_name"])
 
 
-@query(f"WITH {REC}, {EV} SELECT rec.audio_path, count(ev.ord) AS n_events FROM rec LEFT JOIN ev ON rec.audio_path = ev.audio_path GROUP BY rec.audio_path")
+@query(f"WITH {REC}, {EV} SELECT rec.audio_path, count(ev.ord) AS n_events, coalesce(min(ev.ord), -1) AS first_ord FROM rec LEFT JOIN ev ON rec.audio_path = ev.audio_path GROUP BY rec.audio_path")
 def q10_event_list_left_join(spark: SparkSession, d: str) -> DataFrame:
-    n = events(spark, d).groupBy("audio_path").agg(F.count(F.lit(1)).alias("n_events"))
-    return recordings(spark, d).select("audio_path").join(n, "audio_path", "left").withColumn("n_events", F.coalesce("n_events", F.lit(0)))
+    """Events of every recording as an array in order; none where there are none."""
+    a = labels.event_array(events(spark, d).withColumn("target", F.col("ord")))
+    e = recordings(spark, d).select("audio_path").join(a, "audio_path", "left")
+    return e.select("audio_path", F.coalesce(F.size("events"), F.lit(0)).cast("bigint").alias("n_events"), F.coalesce(F.get("events", 0)["target"], F.lit(-1)).alias("first_ord"))
+
 
+def _strong(spark: SparkSession, d: str, mode: str) -> tuple[DataFrame, int]:
+    """Segments with the labels that a build gives them."""
+    ev = events(spark, d).select("audio_path", "ord", "class_name", F.col("ev_start").alias("start"), F.col("ev_end").alias("end"), "value")
+    a = an.Annotation("multilabel", "strong", table(spark, d, "strong_events").select("class_name").distinct(), events=ev)
+    index = pipeline.class_index(a)
+    seg = segments(spark, d).select(F.lit("train").alias("split"), F.xxhash64("audio_path").alias("entry_idx"), "audio_path", "segment_id", "seg_start", "seg_end", "valid_sec")
+    return pipeline.strong_labels(seg, a, pipeline._index_df(spark, index), mode, len(index)), len(index)
 
-@query("SELECT 0::BIGINT AS n_different")
+
+_IDX = "idx AS (SELECT class_name, row_number() OVER (ORDER BY class_name) - 1 AS target FROM (SELECT DISTINCT class_name FROM strong_events))"
+
+
+@query(f"""WITH {_CLIPPED}, {_IDX}, one AS (SELECT audio_path, segment_id, row_number() OVER (PARTITION BY audio_path, segment_id ORDER BY ord) - 1 AS k, target, round(ev_start, 6) + 0.0 AS ev_start, round(ev_end, 6) AS ev_end, code FROM hits JOIN idx USING (class_name))
+SELECT segs.audio_path, segs.segment_id, coalesce(k, -1) AS k, coalesce(target, -1) AS target, coalesce(ev_start, -1) AS ev_start, coalesce(ev_end, -1) AS ev_end, coalesce(code, -1) AS code FROM segs LEFT JOIN one ON one.audio_path = segs.audio_path AND one.segment_id = segs.segment_id""")
+def q50_strong_labels(spark: SparkSession, d: str) -> DataFrame:
+    """The clipped events of every segment in order, as the build stores them; a segment without events has an empty list."""
+    seg, _ = _strong(spark, d, "strong")
+    e = seg.select("audio_path", "segment_id", F.posexplode_outer("label").alias("k", "e"))
+    code = F.when(F.col("e").isNotNull(), labels.state_code(F.col("e.value")))
+    cells = {"k": F.col("k").cast("bigint"), "target": F.col("e.target"), "ev_start": F.round("e.start", 6) + 0.0, "ev_end": F.round("e.end", 6), "code": code}
+    return e.select("audio_path", "segment_id", *(F.coalesce(v, F.lit(-1)).alias(n) for n, v in cells.items()))
+
+
+@query(f"WITH {_CLIPPED}, {_IDX} SELECT audio_path, segment_id, target AS label_idx, max(code) AS code FROM hits JOIN idx USING (class_name) GROUP BY ALL")
+def q51_strong_to_weak_vector(spark: SparkSession, d: str) -> DataFrame:
+    """The states of every segment's classes as the build stores them, absent ones left out."""
+    seg, _ = _strong(spark, d, "strong_to_weak")
+    e = seg.select("audio_path", "segment_id", F.posexplode("label").alias("label_idx", "v")).where(F.isnan("v") | (F.col("v") != 0))
+    return e.select("audio_path", "segment_id", F.col("label_idx").cast("bigint").alias("label_idx"), F.when(F.isnan("v"), 1).otherwise(2).alias("code"))
+
+
+@query(f"WITH {_CLIPPED}, n AS (SELECT audio_path, segment_id, class_name, max(code) AS code FROM hits GROUP BY ALL) SELECT class_name, code, count(*) AS n_segments FROM n GROUP BY ALL")
 def q11_clip_equals_strong_to_weak(spark: SparkSession, d: str) -> DataFrame:
-    """Labels from clipped events against labels from events looked up by segment: both ways must agree."""
-    keys = ["audio_path", "segment_id", "class_name"]
-    a = labels.weak_codes(_clipped(spark, d), keys)
-    seg = segments(spark, d).select("audio_path", "segment_id", "seg_start", "seg_end")
-    met = labels.interval_join(seg, events(spark, d), ["audio_path"], ("seg_start", "seg_end"), ("ev_start", "ev_end"), 300.0)
-    b = met.groupBy(*keys).agg(F.max(labels.state_code(F.col("value"))).alias("other"))
-    return a.join(b, keys, "full").where(~F.col("code").eqNullSafe(F.col("other"))).agg(F.count(F.lit(1)).alias("n_different"))
+    """Segments per class and state, from the clipped events' arrays."""
+    seg, _ = _strong(spark, d, "strong_to_weak")
+    names = pipeline.class_index(an.Annotation("multilabel", "strong", table(spark, d, "strong_events").select("class_name").distinct()))
+    e = seg.select(F.posexplode("label").alias("target", "v")).where(F.isnan("v") | (F.col("v") != 0))
+    e = e.groupBy(F.col("target").cast("bigint").alias("target"), F.when(F.isnan("v"), 1).otherwise(2).alias("code")).agg(F.count(F.lit(1)).alias("n_segments"))
+    return an.named_codes(e, pipeline._index_df(spark, names), ["target"], "class_name", "class_name").select("class_name", "code", "n_segments")
 
 
 STEP = 0.16
@@ -131,21 +207,17 @@ def _valid_frames():
 
 
 def _frames(spark: SparkSession, d: str) -> DataFrame:
-    s = segments(spark, d).where(F.col("dataset").isin("hyenaset", "datased"))
-    return s.withColumn("geometry", geometry.frame_geometry(FRAMES, STEP, _valid_frames(), F.col("valid_sec")))
-
-
-_SEGS_STRONG = SEGS.replace("FROM rec))", "FROM rec WHERE dataset IN ('hyenaset', 'datased')))")
+    return segments(spark, d).withColumn("geometry", geometry.frame_geometry(FRAMES, STEP, _valid_frames(), F.col("valid_sec")))
 
 
-@query(f"WITH {REC}, {_SEGS_STRONG}, {_GRID} SELECT audio_path, segment_id, t AS frame, f_start, f_end FROM frames")
+@query(f"WITH {REC}, {SEGS}, {_GRID} SELECT audio_path, segment_id, t AS frame, f_start, f_end FROM frames")
 def q12_frame_geometry(spark: SparkSession, d: str) -> DataFrame:
     g = _frames(spark, d).select("audio_path", "segment_id", F.posexplode("geometry").alias("frame", "g"))
     return g.select("audio_path", "segment_id", F.col("frame").cast("bigint").alias("frame"), F.col("g.start").alias("f_start"), F.col("g.end").alias("f_end"))
 
 
 @query(
-    f"""WITH {REC}, {EV}, {_SEGS_STRONG}, {_GRID}, hits AS (
+    f"""WITH {REC}, {EV}, {SEGS}, {_GRID}, hits AS (
   SELECT segs.audio_path, segment_id, class_name, (greatest(ev_start, seg_start) - seg_start)::FLOAT AS a, (least(ev_end, seg_start + valid_sec) - seg_start)::FLOAT AS b,
          CASE WHEN value IS NULL OR isnan(value) THEN 1 ELSE 2 END AS code
   FROM segs JOIN ev ON segs.audio_path = ev.audio_path AND ev_start < seg_start + valid_sec AND ev_end > seg_start)
@@ -157,14 +229,35 @@ def q13_frame_label_code(spark: SparkSession, d: str) -> DataFrame:
     return hits.groupBy("audio_path", "segment_id", "frame", "class_name").agg(F.max(labels.state_code(F.col("value"))).alias("code"))
 
 
+@query(
+    f"""WITH {_CLIPPED}, {_GRID}, {_IDX}, fhits AS (SELECT audio_path, segment_id, class_name, ev_start::FLOAT AS a, ev_end::FLOAT AS b, code FROM hits)
+SELECT audio_path, segment_id, t AS frame, target AS label_idx, max(code) AS code FROM frames JOIN fhits USING (audio_path, segment_id) JOIN idx USING (class_name) WHERE a < f_end AND b > f_start GROUP BY ALL"""
+)
+def q52_frame_state_matrix(spark: SparkSession, d: str) -> DataFrame:
+    """The states of every frame's classes as the build of frame embeddings makes them, absent ones left out."""
+    seg, classes = _strong(spark, d, "strong")
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for p, k, sec, n, ev in zip(pdf["audio_path"], pdf["segment_id"], pdf["valid_sec"], pdf["n"], pdf["label"]):
+                m = pipeline.state_matrix(frame_grid(FRAMES, STEP, int(n), float(sec)), list(ev), classes)
+                for t, c in zip(*np.nonzero(m)):  # NaN counts as not zero
+                    out.append((p, k, t, c, 2 if m[t, c] == 1 else 1))
+            yield pd.DataFrame(out, columns=["audio_path", "segment_id", "frame", "label_idx", "code"])
+
+    s = seg.where(F.size("label") > 0).select("audio_path", "segment_id", "valid_sec", _valid_frames().alias("n"), "label")
+    return s.mapInPandas(run, "audio_path string, segment_id bigint, frame bigint, label_idx bigint, code int")
+
+
 @query(
     """SELECT l_orderkey AS file, coalesce(max(CASE WHEN l_linenumber = 1 THEN p END), max(p)) AS present
 FROM (SELECT *, CASE WHEN l_discount > 0.05 THEN 1 ELSE 0 END AS p FROM lineitem) GROUP BY l_orderkey"""
 )
 def q14_annotator_precedence(spark: SparkSession, d: str) -> DataFrame:
     """The verified annotator (line 1) overrides the vote of the others."""
-    p = F.when(F.col("l_discount") > 0.05, 1).otherwise(0)
-    return table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("file")).agg(F.coalesce(F.max(F.when(F.col("l_linenumber") == 1, p)), F.max(p)).alias("present"))
+    rows = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("audio_filename"), (F.col("l_linenumber") - 1).alias("annotator_id"), F.when(F.col("l_discount") > 0.05, 1).otherwise(-1).alias("present"))
+    return an.presence(rows, ["present"]).withColumnRenamed("audio_filename", "file")
 
 
 _STATE = "CASE WHEN {0} < 0.02 THEN 'POS' WHEN {0} < 0.06 THEN 'UNK' ELSE 'NEG' END"
@@ -175,44 +268,42 @@ _STATE = "CASE WHEN {0} < 0.02 THEN 'POS' WHEN {0} < 0.06 THEN 'UNK' ELSE 'NEG'
     {_STATE.format('abs(l_discount - l_tax)')} AS c3 FROM lineitem),
 long AS (SELECT rid, row_key, line, unnest([1, 2, 3]) AS col, unnest(['alarm', 'call', 'alarm']) AS class_name, unnest([c1, c2, c3]) AS state FROM wide),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY rid, class_name ORDER BY CASE state WHEN 'POS' THEN 0 ELSE 1 END, col) AS rn FROM long WHERE state <> 'NEG')
-SELECT row_key, line, class_name, col, CASE state WHEN 'POS' THEN 2 ELSE 1 END AS code FROM ranked WHERE rn = 1"""
+SELECT row_key::VARCHAR AS audio_path, line * 3 + col - 1 AS ord, class_name, CASE state WHEN 'POS' THEN 2 ELSE 1 END AS code FROM ranked WHERE rn = 1"""
 )
 def q15_unpivot_tristate_dedupe(spark: SparkSession, d: str) -> DataFrame:
     """Columns of states to events: two columns share a class; POS before UNK, then the first column."""
     state = lambda c: F.when(c < 0.02, "POS").when(c < 0.06, "UNK").otherwise("NEG")
     wide = table(spark, d, "lineitem").select(
-        F.col("l_orderkey").alias("row_key"), F.col("l_linenumber").alias("line"), state(F.col("l_discount")).alias("c1"), state(F.col("l_tax")).alias("c2"), state(F.abs(F.col("l_discount") - F.col("l_tax"))).alias("c3")
-    )
-    # Per row the columns are few, so the choice is made in the row and nothing is shuffled.
-    cell = lambda k, name: F.struct(F.lit(name).alias("class_name"), F.when(F.col(f"c{k}") == "POS", 0).when(F.col(f"c{k}") == "UNK", 1).otherwise(2).alias("o"), F.lit(k).alias("col"))
-    best = lambda *cells: F.array_min(F.array(*cells))
-    kept = wide.select("row_key", "line", F.explode(F.array(best(cell(1, "alarm"), cell(3, "alarm")), best(cell(2, "call")))).alias("x")).where("x.o < 2")
-    return kept.select("row_key", "line", "x.class_name", "x.col", (F.lit(2) - F.col("x.o")).alias("code"))
+        F.col("l_orderkey").cast("string").alias("audio_path"), F.col("l_linenumber").cast("bigint").alias("row"), F.lit(0.0).alias("start"), F.lit(1.0).alias("end"),
+        state(F.col("l_discount")).alias("c1"), state(F.col("l_tax")).alias("c2"), state(F.abs(F.col("l_discount") - F.col("l_tax"))).alias("c3"),
+    )
+    ev = an.matrix_events(wide, {"c1": "alarm", "c2": "call", "c3": "alarm"})
+    return ev.select("audio_path", "ord", "class_name", labels.state_code(F.col("value")).alias("code"))
 
 
 @query(
-    """SELECT o_orderkey, o_custkey, 'late' AS part FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' UNION ALL
-SELECT o_orderkey, o_custkey, 'early' FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01'"""
+    f"""WITH {REC}, a AS (SELECT audio_path, duration FROM rec WHERE dataset = 'datased'), b AS (SELECT audio_path, dataset FROM rec WHERE dataset <> 'datased')
+SELECT audio_path, duration, NULL AS dataset FROM a UNION ALL SELECT audio_path, NULL, dataset FROM b WHERE audio_path IN ('audio/fold1/100000-1-0-0.wav', 'FSD50K.dev_audio/100001.wav', 'FSD50K.dev_audio/100010.wav')"""
 )
 def q16_patch_union(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders")
-    at = F.lit("1996-01-01").cast("timestamp_ntz")
-    late = o.where(F.col("o_orderdate") >= at).select("o_orderkey", "o_custkey", F.lit("late").alias("part"))
-    return late.unionByName(o.where(F.col("o_orderdate") < at).select("o_orderkey", F.lit("early").alias("part"), "o_custkey"))
+    """One table, and of another the rows of some recordings, with the columns of both."""
+    r = recordings(spark, d)
+    a = r.where(F.col("dataset") == "datased").select("audio_path", "duration")
+    return an.patched(a, r.where(F.col("dataset") != "datased").select("dataset", "audio_path"), "audio_path", ["audio/fold1/100000-1-0-0.wav", "FSD50K.dev_audio/100001.wav", "FSD50K.dev_audio/100010.wav"])
 
 
-@query("SELECT a.label IS NOT NULL AND l.mid IS NULL AS unknown, count(*) AS n FROM audioset_train_strong a LEFT JOIN label_index l ON a.label = l.mid GROUP BY 1")
+@query("SELECT class_name, count(*) AS n FROM audioset_train_strong a LEFT JOIN label_index l ON a.label = l.mid GROUP BY 1")
 def q17_code_lookup(spark: SparkSession, d: str) -> DataFrame:
-    a = table(spark, d, "audioset_train_strong").join(table(spark, d, "label_index").select("mid", "class_name"), F.col("label") == F.col("mid"), "left")
-    return a.groupBy((F.col("label").isNotNull() & F.col("mid").isNull()).alias("unknown")).agg(F.count(F.lit(1)).alias("n"))
+    """Events per class name, by the code of their label; null for codes without a name."""
+    a = table(spark, d, "audioset_train_strong").withColumnRenamed("label", "mid")
+    named = an.named_codes(a, table(spark, d, "label_index").select("mid", F.col("class_name").alias("n")), ["mid"], "n", "class_name", strict=False)
+    return named.groupBy("class_name").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT l_orderkey, l_linenumber, s_name, p_name FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey WHERE s_nationkey = 3")
+@query(f"WITH {REC}, {ENT} SELECT entry_id, duration FROM ent LEFT JOIN rec ON ent.dataset = rec.dataset AND ent.audio_path = rec.audio_path")
 def q18_composite_key_lookup(spark: SparkSession, d: str) -> DataFrame:
-    s = table(spark, d, "supplier").where("s_nationkey = 3").select("s_suppkey", "s_name")
-    p = table(spark, d, "part").select("p_partkey", "p_name")
-    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
-    return li.join(s, F.col("l_suppkey") == F.col("s_suppkey")).join(p, F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", "l_linenumber", "s_name", "p_name")
+    """The duration of every entry's recording, by dataset and path together."""
+    return an.named_codes(entries(spark, d).select("entry_id", "dataset", "audio_path"), recordings(spark, d), ["dataset", "audio_path"], "duration", "duration", strict=False).select("entry_id", "duration")
 
 
 @query(
@@ -220,16 +311,20 @@ def q18_composite_key_lookup(spark: SparkSession, d: str) -> DataFrame:
 SELECT audio_path, label FROM rec JOIN last ON segment_id = regexp_replace(regexp_extract(audio_path, '[^/]*$'), '[.]wav$', '') WHERE dataset = 'audioset_strong'"""
 )
 def q19_basename_key_last_wins(spark: SparkSession, d: str) -> DataFrame:
-    key = F.regexp_replace(F.substring_index("audio_path", "/", -1), r"\.wav$", "")
-    last = table(spark, d, "audioset_train_strong").groupBy("segment_id").agg(F.max(F.struct("received_at", "label")).alias("x")).select("segment_id", "x.label")
-    r = recordings(spark, d).where(F.col("dataset") == "audioset_strong").withColumn("segment_id", key)
-    return r.join(last, "segment_id").select("audio_path", "label")
+    t = table(spark, d, "audioset_train_strong").withColumn("o", F.struct("received_at", "label"))
+    r = recordings(spark, d).where(F.col("dataset") == "audioset_strong").withColumn("segment_id", an.video_key(F.col("audio_path")))
+    return r.join(an.last_wins(t, "segment_id", "o", "label"), "segment_id").select("audio_path", "label")
 
 
-@query(f"WITH {REC} SELECT audio_path, string_split(audio_path, '/')[1] AS region, CASE WHEN len(string_split(audio_path, '/')) > 2 THEN string_split(audio_path, '/')[2] END AS species FROM rec")
+@query(f"WITH {REC} SELECT audio_path, string_split(audio_path, '/')[1] AS region, CASE WHEN len(string_split(audio_path, '/')) > 2 THEN string_split(audio_path, '/')[3] END AS species FROM rec")
 def q20_path_label_extract(spark: SparkSession, d: str) -> DataFrame:
-    p = F.split("audio_path", "/")
-    return recordings(spark, d).select("audio_path", F.get(p, 0).alias("region"), F.when(F.size(p) > 2, F.get(p, 1)).alias("species"))
+    p = F.col("audio_path")
+    return recordings(spark, d).select("audio_path", an.path_part(p, 0).alias("region"), an.path_part(p, 2).alias("species"))
+
+
+@query("SELECT string_split(audio_path, '/')[2] AS folder, count(*) AS n FROM recordings GROUP BY 1")
+def q53_count_by_folder(spark: SparkSession, d: str) -> DataFrame:
+    return files.count_by_folder(table(spark, d, "recordings"), 1)
 
 
 @query(
@@ -250,12 +345,19 @@ def q22_split_column_map(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {REC} SELECT audio_path, duration FROM rec WHERE dataset = 'fsd50k' AND NOT duration > 30.0")
 def q23_over_length_filter(spark: SparkSession, d: str) -> DataFrame:
-    return recordings(spark, d).where((F.col("dataset") == "fsd50k") & ~(F.col("duration") > 30.0)).select("audio_path", "duration")
+    return generators.up_to(recordings(spark, d).where(F.col("dataset") == "fsd50k"), 30.0).select("audio_path", "duration")
+
+
+@query(f"WITH {REC}, {ENT} SELECT entry_id FROM ent JOIN rec USING (audio_path) WHERE start IS NULL OR \"end\" IS NULL OR NOT least(\"end\", duration) > start OR isnan(start) OR isnan(\"end\")")
+def q54_empty_regions(spark: SparkSession, d: str) -> DataFrame:
+    """Entries that give no segment."""
+    e = entries(spark, d).join(recordings(spark, d).select("audio_path", "duration"), "audio_path")
+    return empty_regions(e, F.col("start"), F.col("end"), F.col("duration")).select("entry_id")
 
 
 @query(f"WITH {ENT} SELECT entry_id, audio_path FROM ent WHERE audio_path IN (SELECT audio_path FROM recordings)")
 def q24_on_disk_semi(spark: SparkSession, d: str) -> DataFrame:
-    return entries(spark, d).join(table(spark, d, "recordings").select("audio_path"), "audio_path", "left_semi").select("entry_id", "audio_path")
+    return files.existing(entries(spark, d), table(spark, d, "recordings")).select("entry_id", "audio_path")
 
 
 @query("SELECT user_id, min(event_id) AS first_seen FROM events GROUP BY user_id")
@@ -274,16 +376,27 @@ def q26_stratified_split_md5(spark: SparkSession, d: str) -> DataFrame:
     return r.select("audio_path", "dataset", "split")
 
 
-@query()
+@query(
+    f"""WITH {REC}, n AS (SELECT dataset, count(*) AS n FROM rec GROUP BY 1), p AS (SELECT *, round_even(n * 0.8::DOUBLE, 0)::BIGINT AS a, least(round_even(n * 0.1::DOUBLE, 0), n - round_even(n * 0.8::DOUBLE, 0))::BIGINT AS b FROM n)
+SELECT dataset, split, k AS n FROM (SELECT dataset, unnest(['train', 'validation', 'test']) AS split, unnest([a, b, n - a - b]) AS k FROM p) WHERE k > 0"""
+)
 def q27_stratified_split_rng(spark: SparkSession, d: str) -> DataFrame:
-    return splits.stratified_split_shuffled(recordings(spark, d), "audio_path", "dataset")
+    """Recordings per dataset and split of the split in the generator's order."""
+    r = splits.stratified_split_shuffled(recordings(spark, d), "audio_path", "dataset")
+    return r.groupBy("dataset", "split").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query(
+    f"""WITH {REC}, {EV}, c AS (SELECT DISTINCT audio_path, class_name FROM ev JOIN rec USING (audio_path)), n AS (SELECT class_name, count(*) AS n FROM c GROUP BY 1)
+SELECT class_name, n AS n_files, n >= 3 AS everywhere FROM n"""
+)
 def q28_greedy_duration_split(spark: SparkSession, d: str) -> DataFrame:
+    """Files per class, and whether the greedy split has each class of three files or more in validation and test."""
     sets = events(spark, d).groupBy("audio_path").agg(F.collect_set("class_name").alias("classes"))
-    files = recordings(spark, d).where(F.col("dataset") == "datased").join(sets, "audio_path", "left")
-    return splits.greedy_split(files, "audio_path", "classes", "duration")
+    timed = recordings(spark, d).where(F.col("dataset").isin("hyenaset", "datased")).join(sets, "audio_path", "left")
+    placed = splits.greedy_split(timed, "audio_path", "classes", "duration").join(timed, "audio_path").select("split", F.explode("classes").alias("class_name"))
+    per = placed.groupBy("class_name").agg(F.count(F.lit(1)).alias("n_files"), F.array_sort(F.collect_set("split")).alias("s"))
+    return per.select("class_name", "n_files", ((F.col("n_files") >= 3) & F.array_contains("s", "validation") & F.array_contains("s", "test")).alias("everywhere"))
 
 
 @query(
@@ -300,10 +413,16 @@ def q29_copy_rule(spark: SparkSession, d: str) -> DataFrame:
 SELECT a.split AS split_a, b.split AS split_b, count(*) AS n_shared FROM p a JOIN p b ON a.audio_path = b.audio_path AND a.split <= b.split GROUP BY ALL"""
 )
 def q30_verify_summary(spark: SparkSession, d: str) -> DataFrame:
-    """Paths per split and shared by splits: per path the splits are a set of three at most."""
-    sets = entries(spark, d).where(F.col("audio_path").isNotNull()).groupBy("audio_path").agg(F.array_sort(F.collect_set("split")).alias("s"))
-    pair = sets.select(F.explode("s").alias("split_a"), "s").select("split_a", F.explode("s").alias("split_b")).where(F.col("split_a") <= F.col("split_b"))
-    return pair.groupBy("split_a", "split_b").agg(F.count(F.lit(1)).alias("n_shared"))
+    """Paths per split and shared by splits."""
+    return manifest.shared_paths(entries(spark, d))
+
+
+@query(f"""WITH {ENT}, ok AS (SELECT audio_path, split, start, least("end", 1e14::DOUBLE) AS e FROM ent WHERE audio_path IS NOT NULL AND start < "end" AND NOT isnan("end"))
+SELECT a.audio_path, a.split AS split_a, a.start AS start_a, a.e AS end_a, b.split AS split_b, b.start AS start_b, b.e AS end_b
+FROM ok a JOIN ok b ON a.audio_path = b.audio_path AND a.split < b.split AND a.start < b.e AND a.e > b.start AND NOT (a.start = b.start AND a.e = b.e)""")
+def q55_manifest_overlaps(spark: SparkSession, d: str) -> DataFrame:
+    """Entries of one path in different splits that overlap, as a manifest's check finds them."""
+    return manifest.cross_split_overlaps(entries(spark, d)).select("audio_path", "split_a", "start_a", "end_a", "split_b", "start_b", "end_b")
 
 
 @query(
@@ -323,10 +442,9 @@ def q31_cross_split_overlap(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {ENT} SELECT split, audio_path, count(*) AS n FROM ent WHERE audio_path IS NOT NULL GROUP BY ALL HAVING count(*) > 1")
 def q32_duplicate_in_split(spark: SparkSession, d: str) -> DataFrame:
-    return entries(spark, d).where(F.col("audio_path").isNotNull()).groupBy("split", "audio_path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return manifest.repeated_paths(entries(spark, d).where(F.col("audio_path").isNotNull()))
 
 
 @query(f"""WITH {ENT} SELECT entry_id FROM ent WHERE start IS NULL OR "end" IS NULL OR isnan(start) OR isnan("end") OR NOT start < "end" """)
 def q33_interval_sanity(spark: SparkSession, d: str) -> DataFrame:
-    ok = F.col("start").isNotNull() & F.col("end").isNotNull() & ~F.isnan("start") & ~F.isnan("end") & (F.col("start") < F.col("end"))
-    return entries(spark, d).where(~ok).select("entry_id")
+    return manifest.broken_entries(entries(spark, d)).select("entry_id")
