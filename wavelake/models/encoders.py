@@ -34,6 +34,21 @@ def frame_grid(frames: int, step: float, valid_frames: int, valid_seconds: float
     return g
 
 
+def stretch(x: np.ndarray, n: int) -> np.ndarray:
+    """Cubic interpolation along the second last axis to ``n`` places, ends on ends (convolution kernel with a = -0.75)."""
+    size = x.shape[-2]
+    at = np.arange(n) * ((size - 1) / max(n - 1, 1))
+    base = np.floor(at).astype(np.int64)
+    t = at - base
+    a = -0.75
+    inner = lambda d: ((a + 2) * d - (a + 3)) * d * d + 1
+    outer = lambda d: ((a * d - 5 * a) * d + 8 * a) * d - 4 * a
+    out = 0.0
+    for k, w in ((-1, outer(t + 1)), (0, inner(t)), (1, inner(1 - t)), (2, outer(2 - t))):
+        out = out + x[..., np.clip(base + k, 0, size - 1), :] * w[:, None].astype(x.dtype)
+    return out
+
+
 class Encoder:
     granularities: tuple[str, ...] = GRANULARITIES
     dim = 0
@@ -59,6 +74,10 @@ class Encoder:
         """``(clip, per frame)`` of rows with the same number of valid feature frames."""
         raise NotImplementedError
 
+    def run_group(self, x: np.ndarray, frames: int, samples: int) -> tuple[np.ndarray, np.ndarray]:
+        """``run`` for rows with so many valid samples, which some encoders look at too."""
+        return self.run(x, frames)
+
     def encode(self, batch: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
         x, valid, seconds, samples = (batch[k] for k in ("input_features", "valid", "valid_seconds", "samples"))
         rows = len(x)
@@ -66,7 +85,7 @@ class Encoder:
         longest = int(counts.max())
         out = np.zeros((rows, self.dim) if self.granularity == "clip" else (rows, longest, self.dim), np.float32)
         for pick in length_groups(samples):
-            clip, frames = self.run(x[pick], int(valid[pick[0]]))
+            clip, frames = self.run_group(x[pick], int(valid[pick[0]]), int(samples[pick[0]]))
             if self.granularity == "clip":
                 out[pick] = clip
             else:
@@ -116,6 +135,7 @@ class PatchTransformer(Encoder):
     """A transformer over 12 x 101 overlapping patches of a fixed canvas, with two extra tokens."""
 
     step = 0.1
+    EPS = 1e-12
 
     def __init__(self, granularity, params=None, dim: int = 768, depth: int = 12, n_heads: int = 12):
         super().__init__(granularity, params)
@@ -133,13 +153,16 @@ class PatchTransformer(Encoder):
         extra = np.broadcast_to(self.p("extra", (1, 2, self.dim)), (b, 2, self.dim))
         h = np.concatenate([extra, t.reshape(b, -1, self.dim)], 1) + self.p("position", (1, 2 + 12 * 101, self.dim))
         for k in range(self.depth):
-            h = L.block(self.p, f"layer{k}", h, self.n_heads)
-        h = L.layer_norm(self.p, "norm", h)
+            h = L.block(self.p, f"layer{k}", h, self.n_heads, eps=self.EPS)
+        h = L.layer_norm(self.p, "norm", h, self.EPS)
         return h[:, :2].mean(1), h[:, 2:].reshape(b, 12, 101, self.dim).mean(1)
 
 
 class ShiftedWindows(Encoder):
-    """Windowed attention in four stages over the fused log-mel channels, projected to a unit vector. Clips only."""
+    """Windowed attention in four stages over log-mel energies folded to a square, projected to a unit vector. Clips only.
+
+    Of a long signal the three crops are fused with the whole: weights from the two together, at each place and over all places.
+    """
 
     granularities = ("clip",)
 
@@ -175,15 +198,36 @@ class ShiftedWindows(Encoder):
         x = x + np.roll(y, (shift, shift), (1, 2))
         return x + L.mlp(self.p, f"{name}.mlp", L.layer_norm(self.p, f"{name}.n2", x))
 
-    def run(self, x, frames):
-        # The global channel, with a gated share of the mean of the crops where the signal was long.
-        whole, crops = x[:, 0], x[:, 1:].mean(1)
-        gate = L.sigmoid(L.linear(self.p, "fuse", np.concatenate([whole.mean(1), crops.mean(1)], -1), 64))[:, None]
-        m = whole * gate + crops * (1 - gate)
-        # Time is folded into a square: side x side.
-        at = np.clip(np.linspace(0, m.shape[1] - 1, self.side * self.side // 64), 0, m.shape[1] - 1).round().astype(int)
-        sq = m[:, at].reshape(len(m), self.side // 64, self.side, 64).transpose(0, 1, 3, 2).reshape(len(m), self.side, self.side)
-        h = L.linear(self.p, "patch", L.patches(sq, (4, 4), (4, 4)), self.width)
+    #: Samples from which the crops take part.
+    LONG = 480_480
+
+    def _square(self, x):
+        """Time stretched to the square's number of cells and folded: (batch, channels, side, side), rows by fold and band."""
+        x = x * self.p("bn0.g", (x.shape[-1],), 1.0) + self.p("bn0.b", (x.shape[-1],), 0.0)
+        b, c, _, bands = x.shape
+        folds = self.side // bands
+        x = stretch(x, self.side * folds)
+        return x.reshape(b, c, folds, self.side, bands).transpose(0, 1, 2, 4, 3).reshape(b, c, self.side, self.side)
+
+    def _gate(self, name, x):
+        """Two point-wise layers, each with its scale and shift."""
+        c = x.shape[-1]
+        y = L.linear(self.p, f"{name}.1", x, c // 4)
+        y = L.relu(y * self.p(f"{name}.1.g", (c // 4,), 1.0) + self.p(f"{name}.1.s", (c // 4,), 0.0))
+        return L.linear(self.p, f"{name}.2", y, c) * self.p(f"{name}.2.g", (c,), 1.0) + self.p(f"{name}.2.s", (c,), 0.0)
+
+    def run_group(self, x, frames, samples):
+        sq = self._square(x)
+        h = L.linear(self.p, "patch", L.patches(sq[:, 0], (4, 4), (4, 4)), self.width)
+        if samples >= self.LONG:
+            # The crops, in patches three times as wide, lie side by side; what is missing to the square's width is zero.
+            crops = [L.linear(self.p, "crop", L.patches(sq[:, i], (4, 12), (4, 12)), self.width) for i in range(1, sq.shape[1])]
+            local = np.concatenate(crops, 2)
+            local = np.pad(local, ((0, 0), (0, 0), (0, h.shape[2] - local.shape[2]), (0, 0)))
+            both = h + local
+            w = L.sigmoid(self._gate("near", both) + self._gate("far", both.mean((1, 2), keepdims=True)))
+            h = 2 * h * w + 2 * local * (1 - w)
+        h = L.layer_norm(self.p, "patch.n", h)
         for k, depth in enumerate(self.depths):
             for i in range(depth):
                 h = self._windows(f"stage{k}.{i}", h, self.window // 2 if i % 2 else 0, max(1, h.shape[-1] // 24))
@@ -218,6 +262,7 @@ class WaveTransformer(Encoder):
             if k == 0:
                 # Every channel is normalised over its own time.
                 h = (h - h.mean(1, keepdims=True)) / np.sqrt(h.var(1, keepdims=True) + 1e-5)
+                h = h * self.p("conv0.n.g", (self.channels,), 1.0) + self.p("conv0.n.b", (self.channels,), 0.0)
             h = L.gelu(h)
         h = L.linear(self.p, "project", L.layer_norm(self.p, "project.n", h), self.dim)
         groups = 16 if self.dim % 16 == 0 else 1
@@ -240,6 +285,7 @@ class ChunkedTransformer(Encoder):
     """
 
     step = 0.04
+    EPS = 1e-6
 
     def __init__(self, granularity, params=None, n_blocks: int = 1, width: int = 384, depth: int = 12, n_heads: int = 6, class_token: bool = False):
         self.granularities = ("clip",) if class_token else GRANULARITIES
@@ -263,9 +309,9 @@ class ChunkedTransformer(Encoder):
             h = np.concatenate([np.broadcast_to(c, (len(x), 1, self.width)), h], 1)
         kept = []
         for k in range(self.depth):
-            h = L.block(self.p, f"layer{k}", h, self.n_heads)
+            h = L.block(self.p, f"layer{k}", h, self.n_heads, eps=self.EPS)
             if k >= self.depth - self.n_blocks:
-                kept.append(L.layer_norm(self.p, "norm", h))
+                kept.append(L.layer_norm(self.p, "norm", h, self.EPS))
         return kept
 
     def run(self, x, frames):

@@ -79,12 +79,12 @@ def heads(x: np.ndarray, n: int) -> np.ndarray:
 
 
 def attention(p: Params, name: str, x: np.ndarray, n_heads: int, bias: Callable | np.ndarray | None = None) -> np.ndarray:
-    """Self-attention; ``bias`` is added to the scores, or computed from the heads' input."""
+    """Self-attention; ``bias`` is added to the scores, or computed from the heads' unscaled queries."""
     d = x.shape[-1]
     q, k, v = (heads(linear(p, f"{name}.{c}", x, d), n_heads) for c in "qkv")
     s = q @ np.swapaxes(k, -1, -2) / np.sqrt(d / n_heads)
     if bias is not None:
-        s = s + (bias(heads(x, n_heads)) if callable(bias) else bias)
+        s = s + (bias(q) if callable(bias) else bias)
     y = np.swapaxes(softmax(s) @ v, -2, -3)
     return linear(p, f"{name}.o", y.reshape(*x.shape), d)
 
@@ -93,13 +93,13 @@ def mlp(p: Params, name: str, x: np.ndarray, ratio: float = 4.0) -> np.ndarray:
     return linear(p, f"{name}.2", gelu(linear(p, f"{name}.1", x, int(x.shape[-1] * ratio))), x.shape[-1])
 
 
-def block(p: Params, name: str, x: np.ndarray, n_heads: int, norm_first: bool = True, bias=None, residual: float = 1.0) -> np.ndarray:
+def block(p: Params, name: str, x: np.ndarray, n_heads: int, norm_first: bool = True, bias=None, residual: float = 1.0, eps: float = 1e-5) -> np.ndarray:
     """One transformer layer; ``residual`` scales the path around (deep norm)."""
     if norm_first:
-        x = x + attention(p, f"{name}.att", layer_norm(p, f"{name}.n1", x), n_heads, bias)
-        return x + mlp(p, f"{name}.mlp", layer_norm(p, f"{name}.n2", x))
-    x = layer_norm(p, f"{name}.n1", residual * x + attention(p, f"{name}.att", x, n_heads, bias))
-    return layer_norm(p, f"{name}.n2", residual * x + mlp(p, f"{name}.mlp", x))
+        x = x + attention(p, f"{name}.att", layer_norm(p, f"{name}.n1", x, eps), n_heads, bias)
+        return x + mlp(p, f"{name}.mlp", layer_norm(p, f"{name}.n2", x, eps))
+    x = layer_norm(p, f"{name}.n1", residual * x + attention(p, f"{name}.att", x, n_heads, bias), eps)
+    return layer_norm(p, f"{name}.n2", residual * x + mlp(p, f"{name}.mlp", x), eps)
 
 
 def patches(x: np.ndarray, size: tuple[int, int], step: tuple[int, int]) -> np.ndarray:

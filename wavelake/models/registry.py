@@ -66,7 +66,8 @@ def create_model(name: str, *, granularity: str, pretrained: bool = True, pretra
     """The model of that name.
 
     Every further argument goes to whichever of front end and encoder declares it, to both if both do; one that neither declares, or
-    that the model fixes, is a TypeError. Weights come from ``{pretrained_dir}/{name}.npz`` (with ``--`` for ``/``); without ``pretrained`` they are drawn.
+    that the model fixes, is a TypeError. Weights come from ``{pretrained_dir}/{name}.npz`` (with ``--`` for ``/``;
+    ``models.convert`` makes such files), whose digest must be that of a ``.sha256`` file beside it, if there is one; without ``pretrained`` they are drawn.
     The granularity is checked before any weights are looked for.
     """
     if name not in _MODELS:
@@ -85,8 +86,35 @@ def create_model(name: str, *, granularity: str, pretrained: bool = True, pretra
     if pretrained and spec.encoder is not en.Checksum:
         if pretrained_dir is None:
             raise FileNotFoundError(f"{name}: weights are only read from a local folder; name it in pretrained_dir, or say pretrained=False")
-        encoder.p = Params(seed, os.path.join(pretrained_dir, f"{name.replace('/', '--')}.npz"))
-    return ModelPair(spec.front(**{k: v for k, v in every.items() if k in to_front}), encoder)
+        path = os.path.join(pretrained_dir, f"{name.replace('/', '--')}.npz")
+        # Beside the weights may lie the digest that they must have.
+        want = open(f"{path}.sha256").read().split()[0] if os.path.isfile(f"{path}.sha256") else None
+        encoder.p = Params(seed, path, want)
+    front = spec.front(**{k: v for k, v in every.items() if k in to_front})
+    if isinstance(front, fe.LogMel) and encoder.p.loaded is not None:
+        # The normalisation of the bands is part of the weights.
+        front.scale, front.shift = encoder.p("bn0.g", (64,)), encoder.p("bn0.b", (64,))
+    return ModelPair(front, encoder)
+
+
+# Names of five pretrained checkpoints of one architecture, and of two tuned versions of each.
+BEATS = (
+    "beats_iter1",
+    "beats_iter2",
+    "beats_iter3",
+    "beats_iter3_plus_as20k",
+    "beats_iter3_plus_as2m",
+    "fine_tuned_beats_iter1_cpt1",
+    "fine_tuned_beats_iter1_cpt2",
+    "fine_tuned_beats_iter2_cpt1",
+    "fine_tuned_beats_iter2_cpt2",
+    "fine_tuned_beats_iter3_cpt1",
+    "fine_tuned_beats_iter3_cpt2",
+    "fine_tuned_beats_iter3_plus_as20k_cpt1",
+    "fine_tuned_beats_iter3_plus_as20k_cpt2",
+    "fine_tuned_beats_iter3_plus_as2m_cpt1",
+    "fine_tuned_beats_iter3_plus_as2m_cpt2",
+)
 
 
 def _built_in() -> None:
@@ -100,10 +128,8 @@ def _built_in() -> None:
     for size, width, n in (("small", 384, 6), ("base", 768, 12)):
         register_model(f"atst-clip-{size}", ModelSpec(fe.FlooredMel, en.ChunkedTransformer, {"width": width, "n_heads": n, "class_token": True}))
         register_model(f"atst-frame-{size}", ModelSpec(fe.FlooredMel, en.ChunkedTransformer, {"width": width, "n_heads": n, "class_token": False}))
-    # Five pretrained checkpoints of one architecture, each also tuned in two versions.
-    for base in ("beats_iter1", "beats_iter2", "beats_iter3", "beats_iter3_plus_as20k", "beats_iter3_plus_as2m"):
-        for name in (base, f"fine_tuned_{base}_cpt1", f"fine_tuned_{base}_cpt2"):
-            register_model(name, ModelSpec(fe.PoveyFbank, en.GatedTransformer))
+    for name in BEATS:
+        register_model(name, ModelSpec(fe.PoveyFbank, en.GatedTransformer))
     register_model("checksum", ModelSpec(lambda: fe.Waveform(False), en.Checksum))
 
 

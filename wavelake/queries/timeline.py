@@ -393,7 +393,7 @@ SELECT class_name, n AS n_files, n >= 3 AS everywhere FROM n"""
 def q28_greedy_duration_split(spark: SparkSession, d: str) -> DataFrame:
     """Files per class, and whether the greedy split has each class of three files or more in validation and test."""
     sets = events(spark, d).groupBy("audio_path").agg(F.collect_set("class_name").alias("classes"))
-    timed = recordings(spark, d).where(F.col("dataset").isin("hyenaset", "datased")).join(sets, "audio_path", "left")
+    timed = recordings(spark, d).join(sets, "audio_path", "left")
     placed = splits.greedy_split(timed, "audio_path", "classes", "duration").join(timed, "audio_path").select("split", F.explode("classes").alias("class_name"))
     per = placed.groupBy("class_name").agg(F.count(F.lit(1)).alias("n_files"), F.array_sort(F.collect_set("split")).alias("s"))
     return per.select("class_name", "n_files", ((F.col("n_files") >= 3) & F.array_contains("s", "validation") & F.array_contains("s", "test")).alias("everywhere"))
