@@ -30,6 +30,8 @@ BLOCK = 600_000
 #: Quiet stretches that one task takes together, and pieces that it hands on at once.
 MANY = 100_000
 CHUNK = 50_000
+#: Items that one task cuts.
+ITEMS = 20_000
 #: Beyond all times.
 FAR = 41 * 10**17
 
@@ -183,7 +185,9 @@ def pieces(items: DataFrame, events: DataFrame, many: int = MANY) -> DataFrame:
     if any_heavy:
         starts = items.select("row_id", F.col("from_ms").alias("_x"))
         own = own.join(starts, "row_id").withColumn("x", F.coalesce("x", "_x")).drop("_x")
-    lists = own.groupBy(*key).agg(F.collect_list(F.struct("q0", "q1")).alias("quiet"))  # at most about ``many``, but for parts within the limit
+    # Few bytes but much work per row: spread by the number of items rather than by bytes.
+    tasks = max(2 * items.sparkSession.sparkContext.defaultParallelism, items.count() // ITEMS)
+    lists = own.repartition(tasks, *key).groupBy(*key).agg(F.collect_list(F.struct("q0", "q1")).alias("quiet"))  # at most about ``many``, but for parts within the limit
     ready = light.join(lists, key, "left").withColumn("quiet", F.coalesce("quiet", F.array().cast("array<struct<q0:bigint,q1:bigint>>")))
     done = ready.select("row_id", "x", "y", "size", "rest.from_ms", "rest.overlap", "quiet").mapInPandas(_cut, _PIECES)
     if any_heavy:
