@@ -113,7 +113,7 @@ def coverage(entries: DataFrame, matched: DataFrame) -> DataFrame:
     """``eval_id, dataset, split, rec, es, ee, size_ms, covered_ms``: every evaluation record that training entries overlap, and how much of
     it they cover together. Bounds are widened to whole milliseconds."""
     train = entries.where(F.col("split") == "train").join(matched, "text").select(matched["rec"], _ms("s", F.floor).alias("a"), _ms("e", F.ceil).alias("b"))
-    busy = merge_intervals(train, ["rec"], "a", "b").select("rec", "from_ms", "to_ms")
+    busy = cut(merge_intervals(train, ["rec"], "a", "b").select("rec", "from_ms", "to_ms"))  # the join reads it twice
     evals = entries.where(F.col("split").isin(*EVALUATION)).select(F.col("entry_id").alias("eval_id"), "dataset", "split", "rec", F.col("s").alias("es"), F.col("e").alias("ee"), _ms("s", F.floor).alias("a"), _ms("e", F.ceil).alias("b"))
     met = interval_join(evals, busy, ["rec"], ("a", "b"), ("from_ms", "to_ms"), 600_000)
     held = F.least("b", "to_ms") - F.greatest("a", "from_ms")
