@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -106,8 +106,33 @@ def wave_tokens(n: Column) -> Column:
     return n
 
 
+def _chunks(mel_frames: Column, chunk: int, least: int) -> tuple[Column, Column]:
+    """Whole chunks, and patches of the tail behind them: zero where it has fewer than ``least`` frames. Neither is above zero without frames."""
+    n = mel_frames.cast("bigint")
+    tail = n % chunk
+    return F.call_function("div", n, F.lit(chunk)), F.when(tail >= least, F.call_function("div", tail, F.lit(4))).otherwise(0)
+
+
 def chunk_patches(mel_frames: Column, chunk: int = 1000, least: int = 4) -> Column:
     """Patches of every chunk of mel frames; a tail of fewer than ``least`` frames is dropped."""
-    k = F.sequence(F.lit(0), (F.greatest(mel_frames - 1, F.lit(0)) / chunk).cast("int"))
-    sizes = F.transform(k, lambda i: F.least(F.lit(chunk), mel_frames - i * chunk))
-    return F.transform(F.filter(sizes, lambda s: s >= least), lambda s: (s / 4).cast("int"))
+    whole, tail = _chunks(mel_frames, chunk, least)
+    return F.concat(F.array_repeat(F.lit(chunk // 4), whole.cast("int")), F.array_repeat(tail.cast("int"), (tail > 0).cast("int")))
+
+
+def with_chunks(df: DataFrame, mel_frames: Column, chunk: int = 1000, least: int = 4) -> DataFrame:
+    """Every row once for each of its chunks: ``chunk``, ``patches`` and ``weight``, its part of the row's patches with nine digits.
+
+    A row's chunks have only two weights, of a whole chunk and of the tail, which are worked out below the explode. They are rounded by
+    arithmetic, as none is negative: ``round`` goes over decimal numbers. The expressions are kept short, since Java does not compile a
+    method of over 8,000 bytes and the loop over the chunks stands in the same one.
+    """
+    whole, tail = _chunks(mel_frames, chunk, least)
+    rows = df.select("*", whole.alias("_whole"), tail.alias("_tail")).where("_whole + _tail > 0")
+    total = F.col("_whole") * (chunk // 4) + F.col("_tail")
+    weight = lambda p: F.floor(p.cast("double") / total * 1e9 + 0.5) / 1e9
+    rows = rows.select("*", weight(F.lit(chunk // 4)).alias("_whole_weight"), weight(F.col("_tail")).alias("_tail_weight"))
+    last = F.col("_whole") - F.when(F.col("_tail") > 0, 0).otherwise(1)
+    is_whole = F.col("chunk") < F.col("_whole")
+    patches = F.when(is_whole, F.lit(chunk // 4).cast("bigint")).otherwise(F.col("_tail"))
+    at = rows.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("chunk"))
+    return at.select(*df.columns, "chunk", patches.alias("patches"), F.when(is_whole, F.col("_whole_weight")).otherwise(F.col("_tail_weight")).alias("weight"))

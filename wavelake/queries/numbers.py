@@ -83,10 +83,8 @@ p AS (SELECT rid, l_orderkey, l_linenumber, chunk, least(1000, frames - chunk *
 SELECT l_orderkey, l_linenumber, chunk, size // 4 AS patches, round((size // 4)::DOUBLE / sum(size // 4) OVER (PARTITION BY rid), 9) AS weight FROM p WHERE size >= 4"""
 )
 def q37_chunk_weights(spark: SparkSession, d: str) -> DataFrame:
-    p = _lines(spark, d).select("l_orderkey", "l_linenumber", g.chunk_patches((F.col("l_partkey") + 900).cast("int")).alias("p"))
-    total = F.aggregate("p", F.lit(0), lambda a, x: a + x)
-    e = p.withColumn("total", total).select("l_orderkey", "l_linenumber", "total", F.posexplode("p").alias("chunk", "patches"))
-    return e.select("l_orderkey", "l_linenumber", F.col("chunk").cast("bigint").alias("chunk"), F.col("patches").cast("bigint").alias("patches"), F.round(F.col("patches").cast("double") / F.col("total"), 9).alias("weight"))
+    n = F.col("l_partkey") + 900
+    return g.with_chunks(_lines(spark, d), n).select("l_orderkey", "l_linenumber", "chunk", "patches", "weight")
 
 
 def _vectors(spark: SparkSession, d: str) -> DataFrame:
